@@ -27,7 +27,10 @@ FLOW_ORDER = ["stime", "stcpb", "dtcpb", "srcip", "sport", "sbytes", "sload", "d
 
 def packets(spark: SparkSession, sf: str) -> DataFrame:
     """Flows without label and service, from the line items alone."""
-    item = table(spark, sf, "lineitem")
+    return packets_of(table(spark, sf, "lineitem"))
+
+
+def packets_of(item: DataFrame) -> DataFrame:
     return item.select(
         F.concat(F.lit("s"), "l_suppkey").alias("srcip"),
         F.concat(F.lit("p"), "l_partkey").alias("dstip"),

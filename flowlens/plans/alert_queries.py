@@ -42,7 +42,7 @@ def _(spark, sf):
  SELECT CAST(event_id AS VARCHAR) AS id, CASE WHEN user_id % 4 = 0 THEN 'unknown' ELSE 'u' || user_id END AS srcip,
         'unknown' AS dstip, 'unknown' AS proto, '-' AS service, 'unknown' AS state,
         CASE WHEN event_type = 'view' THEN 'Unknown' ELSE event_type END AS attack_cat,
-        0.0 AS confidence, CAST(json_extract_string(props, '$.k') AS INT) AS threat_score,
+        CAST(0 AS DOUBLE) AS confidence, CAST(json_extract_string(props, '$.k') AS INT) AS threat_score,
         'pending' AS status, CAST(NULL AS VARCHAR) AS resolved_by, 'external' AS source,
         CASE WHEN event_id % 9 = 0 THEN (SELECT max(ts) FROM events) ELSE ts END AS timestamp
  FROM events""")
