@@ -15,6 +15,7 @@ from flowlens.functions.columns import (
     THREAT_EDGES, THREAT_NAMES, alert_confidence, alert_threat_score, threat_bucket,
 )
 from flowlens.operators.sequence import dense_index
+from flowlens.runtime import materialise
 from flowlens.schema import (
     ALERT_DEFAULTS, ALL_CLASSES, CLOSED_STATUSES, LIFECYCLE_STATUSES, NORMAL,
     SELF_ANNOUNCING_SOURCES, UPDATE_STATUSES, alert_schema,
@@ -163,8 +164,12 @@ def _last_per_alert(updates: DataFrame) -> DataFrame:
 
 
 def apply_updates(alerts: DataFrame, updates: DataFrame, allowed: list[str] = UPDATE_STATUSES) -> DataFrame:
-    """Alerts with the last accepted update per id."""
-    last = _last_per_alert(check_updates(updates, allowed).accepted)
+    """Alerts with the last accepted update per id.
+
+    The updates are reduced and stored first: a usual batch of updates is then
+    broadcast by its size and the alert table is not shuffled.
+    """
+    last = materialise(_last_per_alert(check_updates(updates, allowed).accepted), "last-updates")
     changed = alerts.join(last, "id", "left").withColumns({
         c: F.when(F.col("u").isNotNull(), F.col(f"u.{c}")).otherwise(F.col(c))
         for c in ("status", "resolved_by", "resolved_at")

@@ -19,7 +19,7 @@ def category_codes(df: DataFrame, columns: list[str]) -> DataFrame:
         ])).alias("p"))
         .select("p.*").filter(F.col("value").isNotNull()).distinct()
     )
-    placed = dense_index(seen, ["column", "value"], "_seq")
+    placed = dense_index(seen, ["column", "value"], "_seq", unique=True)
     first = placed.groupBy("column").agg(F.min("_seq").alias("_first"))
     return (
         placed.join(first, "column")

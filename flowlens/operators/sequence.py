@@ -16,15 +16,28 @@ from flowlens.runtime import materialise
 _POSITION_BITS = 33
 
 
-def _range_sorted(df: DataFrame, order: list[Column]) -> DataFrame:
+def with_tie_break(df: DataFrame) -> DataFrame:
+    """``df`` with a distinct number per row in ``_tie``, stored.
+
+    Sorted last, it lets Spark spread rows that are equal in the sort columns,
+    even exact copies, over several ranges.  It is stored before it is used, so
+    a task that runs again after an executor was lost sees the same numbers.
+    """
+    return materialise(df.withColumn("_tie", F.monotonically_increasing_id()), "numbered")
+
+
+def _range_sorted(df: DataFrame, order: list[Column], unique: bool) -> DataFrame:
     """Rows in ranges of ``order``, each with its range ``_part`` and place ``_pos``.
 
     Written once, because the ranges are drawn from a sample and the second
-    pass must see the same ones, also after an executor was lost.
+    pass must see the same ones.
     """
+    source = df if unique else with_tie_break(df)
+    keys = order if unique else [*order, F.col("_tie")]
     placed = (
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
+        source.repartitionByRange(*keys)
+        .sortWithinPartitions(*keys)
+        .drop("_tie")
         .withColumn("_mid", F.monotonically_increasing_id())
     )
     stored = materialise(placed, "ranges")
@@ -43,15 +56,14 @@ def _earlier(totals: DataFrame, names: list[str]) -> DataFrame:
     )
 
 
-def dense_index(df: DataFrame, order: list[Column | str], name: str = "seq") -> DataFrame:
+def dense_index(df: DataFrame, order: list[Column | str], name: str = "seq", unique: bool = False) -> DataFrame:
     """Row numbers 1, 2, 3, … in ``order`` over the whole table.
 
-    ``order`` should be a total order, up to rows that are equal in every
-    column.  One range shuffle; a value held by very many rows is split over
-    ranges as long as the later order columns tell those rows apart.
+    Rows that tie in ``order`` are numbered in any order and may be spread over
+    several tasks.  ``unique`` says that no rows tie, which saves a write.
     """
     keys = [F.col(c) if isinstance(c, str) else c for c in order]
-    placed = _range_sorted(df, keys)
+    placed = _range_sorted(df, keys, unique)
     sizes = placed.groupBy("_part").agg(F.count("*").alias("n"))
     # bounded: one row per range, never more than the shuffle partitions
     offsets = F.broadcast(_earlier(sizes, ["n"]))
@@ -62,10 +74,11 @@ def dense_index(df: DataFrame, order: list[Column | str], name: str = "seq") ->
     )
 
 
-def running_sums(df: DataFrame, order: list[Column], sums: dict[str, str]) -> DataFrame:
+def running_sums(df: DataFrame, order: list[Column], sums: dict[str, str], unique: bool = False) -> DataFrame:
     """Inclusive running sums ``{new: column}`` in ``order`` over the whole table."""
-    placed = _range_sorted(df, order)
+    placed = _range_sorted(df, order, unique)
     totals = placed.groupBy("_part").agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+    # bounded: one row per range, never more than the shuffle partitions
     offsets = F.broadcast(_earlier(totals, list(sums)))
     inside = (
         Window.partitionBy("_part").orderBy("_pos")

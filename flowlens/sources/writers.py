@@ -5,18 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flowlens.operators.sequence import with_tie_break
+
 
 def write_table(df: DataFrame, path: str, overwrite: bool = True, files: int | None = None,
                 partition_by: list[str] | None = None, range_by: list[str] | None = None) -> None:
     """Write Parquet; failures raise.
 
     ``files`` spreads the rows over that many files.  With ``range_by`` each
-    file holds one range of those columns, so later filters skip whole files.
+    file holds one range of those columns, so later filters skip whole files;
+    a value that very many rows share is spread over several files.
     """
     out = df
     if range_by:
-        out = (out.repartitionByRange(files, *range_by) if files else out.repartitionByRange(*range_by))
-        out = out.sortWithinPartitions(*range_by)
+        keys = [*range_by, "_tie"]
+        out = with_tie_break(df)
+        out = out.repartitionByRange(files, *keys) if files else out.repartitionByRange(*keys)
+        out = out.sortWithinPartitions(*keys).drop("_tie")
     elif files:
         out = out.repartition(files)
     writer = out.write.mode("overwrite" if overwrite else "errorifexists")
@@ -26,8 +31,11 @@ def write_table(df: DataFrame, path: str, overwrite: bool = True, files: int | N
 
 
 def as_messages(df: DataFrame, order: list[Column | str] | None = ("stime",)) -> DataFrame:
-    """Rows as JSON text in ``value``, in numeric time order, ready for a topic or text sink."""
-    ordered = df.orderBy(*order) if order else df
+    """Rows as JSON text in ``value``, in numeric time order, ready for a topic or text sink.
+
+    Rows of one time may be sorted by several tasks.
+    """
+    ordered = with_tie_break(df).orderBy(*order, "_tie") if order else df
     return ordered.select(F.to_json(F.struct(*df.columns)).alias("value"))
 
 

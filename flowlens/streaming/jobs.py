@@ -26,9 +26,18 @@ def windowed_stream_counts(stream: DataFrame, time: str, width: str = "5 minutes
     return window_counts(stream.withWatermark(time, watermark), time, width, by)
 
 
-def without_redelivery(stream: DataFrame, time: str, keys: list[str], watermark: str = WATERMARK) -> DataFrame:
-    """First delivery of every message; copies within the watermark are dropped."""
-    return stream.withWatermark(time, watermark).dropDuplicatesWithinWatermark(keys)
+def without_redelivery(stream: DataFrame, time: str, keys: list[str], watermark: str = WATERMARK,
+                       spread: int = 32) -> DataFrame:
+    """First delivery of every message; copies within the watermark are dropped.
+
+    Copies are first dropped per input partition (modulo ``spread``) and then
+    as a whole, so a message delivered over and over does not meet in one task.
+    """
+    marked = stream.withWatermark(time, watermark)
+    if spread > 1:
+        marked = (marked.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(spread)))
+                  .dropDuplicatesWithinWatermark([*keys, "_salt"]).drop("_salt"))
+    return marked.dropDuplicatesWithinWatermark(keys)
 
 
 def running_category_counts(alerts: DataFrame) -> DataFrame:
