@@ -16,6 +16,11 @@ def labelled(df: DataFrame, column: str = "attack_cat") -> DataFrame:
     return df.filter(F.col(column).isNotNull())
 
 
+def preview(df: DataFrame, rows: int = 1000) -> DataFrame:
+    """A few rows for a look or a trial fit; which ones is up to Spark."""
+    return df.limit(rows)
+
+
 def category_counts(df: DataFrame, column: str = "attack_cat") -> DataFrame:
     """Rows per class, most frequent first."""
     return df.groupBy(column).agg(F.count("*").alias("n")).orderBy(F.desc("n"), column)
