@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from flowlens.functions.columns import (
-    DECILE_UPPER, TWENTY_UPPER, confidence_band, severity_band, threat_bucket, upper_bound_bucket,
+    DECILE_UPPER, TWENTY_UPPER, alert_confidence, alert_threat_score, confidence_band, severity_band, threat_bucket, upper_bound_bucket,
 )
 from flowlens.operators import alerts as ops
 from flowlens.operators.explore import category_counts, window_counts
@@ -29,13 +30,7 @@ def _list(df):
 @REG.add("json_props_extract", """
  SELECT event_id, CAST(json_extract_string(props, '$.k') AS INT) AS k FROM events""")
 def _(spark, sf):
-    from pyspark.sql.types import IntegerType, StructField, StructType
-    events = table(spark, sf, "events")
-    parsed = decode_json(
-        events.select(F.to_json(F.struct("event_id", F.get_json_object("props", "$.k").cast("int").alias("k"))
-                                ).alias("value")),
-        StructType.fromDDL("event_id long").add(StructField("k", IntegerType())))
-    return parsed
+    return decode_json(table(spark, sf, "events"), StructType.fromDDL("k int"), "props", keep=("event_id",))
 
 
 @REG.add("alerts_normalise", """
@@ -79,7 +74,6 @@ def _(spark, sf):
              ELSE 0 END AS alert_threat_score
  FROM predictions""")
 def _(spark, sf):
-    from flowlens.functions.columns import alert_confidence, alert_threat_score
     p = "attack_probability"
     return predictions(spark, sf).select(
         "srcip", "dstip", (F.col(p) >= 0.5).alias("is_attack"), alert_confidence(p).alias("confidence"),

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from flowlens.detection.cascade import final_class
+from flowlens.functions.columns import is_attack
 from flowlens.operators import evaluate as ev
-from flowlens.plans.adapters import PREDICTIONS_SQL, predictions
+from flowlens.plans.adapters import PREDICTIONS_SQL, named_flows, predictions
 from flowlens.plans.registry import Registry, r6
 from flowlens.schema import ALL_CLASSES
 
@@ -76,8 +77,6 @@ def _(spark, sf):
  FROM ranked""")
 def _(spark, sf):
     """The same with a score that hardly ever repeats."""
-    from flowlens.functions.columns import is_attack
-    from flowlens.plans.adapters import named_flows
     scored = named_flows(spark, sf).select(is_attack().alias("y"), F.col("sload").alias("score"))
     return ev.auc_roc(scored, "y", "score").select(r6("auc_roc"))
 

@@ -40,14 +40,16 @@ def table_stream(spark: SparkSession, path: str, schema: T.StructType,
 
 
 def decode_json(messages: DataFrame, schema: T.StructType, column: str = "value",
-                keep_corrupt: bool = False) -> DataFrame:
+                keep_corrupt: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
     """Typed columns of JSON messages; a malformed message has only NULLs.
 
     With ``keep_corrupt`` its text is kept beside them, for a reject table.
+    ``keep`` names columns of the message to carry along, such as its offset.
     """
     full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]) if keep_corrupt else schema
     options = {"columnNameOfCorruptRecord": CORRUPT} if keep_corrupt else {}
-    return messages.select(F.from_json(F.col(column).cast("string"), full, options).alias("data")).select("data.*")
+    data = F.from_json(F.col(column).cast("string"), full, options).alias("data")
+    return messages.select(*keep, data).select(*keep, "data.*")
 
 
 def decode_flows(messages: DataFrame, schema: T.StructType) -> DataFrame:
