@@ -96,7 +96,9 @@ def alerts_page(alerts: DataFrame, page: int = 1, limit: int = 20, status: str |
 
 def alerts_after(alerts: DataFrame, timestamp, alert_id: str, limit: int = 20) -> DataFrame:
     """The next page behind a known last row; costs the same at any depth."""
-    t, i = F.lit(timestamp), F.lit(alert_id)
+    zone_free = dict(alerts.dtypes)["timestamp"] == "timestamp_ntz"
+    t = F.lit(timestamp.isoformat()).cast("timestamp_ntz") if zone_free else F.lit(timestamp)
+    i = F.lit(alert_id)
     older = (F.col("timestamp") < t) | ((F.col("timestamp") == t) & (F.col("id") < i))
     return newest_first(alerts.filter(older)).limit(limit)
 

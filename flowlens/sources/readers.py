@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowlens.schema import flow_schema
@@ -35,6 +35,11 @@ def read_partition(spark: SparkSession, path: str, column: str = "label", value=
     return spark.read.parquet(path).filter(F.col(column) == F.lit(value))
 
 
+def read_alerts_since(spark: SparkSession, path: str, since: Column) -> DataFrame:
+    """Stored alerts from ``since`` on; folders of earlier days are not opened."""
+    return spark.read.parquet(path).filter((F.col("day") >= F.to_date(since)) & (F.col("timestamp") >= since)).drop("day")
+
+
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
     """Model-metrics document, nested or old flat layout, as one nested row.
 

@@ -92,6 +92,8 @@ def test_alerts_are_stored_by_day(spark, tmp_path):
         writers.append_alerts(df, f"{tmp_path}/alerts")
     table = readers.read_table(spark, f"{tmp_path}/alerts")
     assert table.count() == 4 and table.filter("day = date'2024-01-02'").count() == 2
+    recent = readers.read_alerts_since(spark, f"{tmp_path}/alerts", F.lit(dt.datetime(2024, 1, 1, 12)))
+    assert [r.id for r in recent.collect()] == ["2", "2"]
 
 
 class Settings(dict):
