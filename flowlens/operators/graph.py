@@ -87,12 +87,10 @@ def connected_components(edges: DataFrame, max_rounds: int = 100,
     graph, not with its diameter.  Links are written each round, so the plan
     does not grow.
     """
-    both = materialise(edges.select("src", "dst").filter("src is not null and dst is not null").distinct(),
-                       "edges")
-    links = materialise(
-        both.filter("src <> dst")
-        .select(F.greatest("src", "dst").alias("hi"), F.least("src", "dst").alias("lo")).distinct(),
-        "links")
+    pairs = materialise(
+        edges.filter("src is not null and dst is not null")
+        .select(F.greatest("src", "dst").alias("hi"), F.least("src", "dst").alias("lo")).distinct(), "pairs")
+    links = pairs.filter("hi <> lo")
     for _ in range(max_rounds):
         around = materialise(_neighbourhoods(links), "around")
         if around.filter("n_below > 1 or (n_below = 1 and n_above > 0)").isEmpty():
@@ -112,7 +110,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 100,
         raise RuntimeError(f"components not stable after {max_rounds} rounds")
     linked = around.select(
         F.col("v").alias("id"), F.when(F.col("n_below") == 1, F.col("least")).otherwise(F.col("v")).alias("component"))
-    alone = (both.filter("src = dst").select(F.col("src").alias("id"))
+    alone = (pairs.filter("hi = lo").select(F.col("hi").alias("id"))
              .join(linked.select("id"), "id", "left_anti")
              .select("id", F.col("id").alias("component")))
     return linked.unionByName(alone)
