@@ -5,8 +5,9 @@ from compare import connect, difference
 from conftest import SF
 
 import __spark_entry__ as entry_point
+from flowlens.plans.catalog import REGISTRY
 
-QUERIES, SQL = entry_point.queries(), entry_point.oracle_sql()
+QUERIES, SQL = REGISTRY.queries, REGISTRY.sql
 
 
 @pytest.fixture(scope="module")

@@ -7,9 +7,9 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry_point
 from flowlens.operators import explore, profile, sequence
 from flowlens.plans.adapters import FLOW_ORDER, packets
+from flowlens.plans.catalog import REGISTRY
 from flowlens.runtime import scratch_path
 from flowlens.sources.readers import read_partition
 from flowlens.sources.writers import write_table
@@ -23,9 +23,9 @@ def plan(df) -> str:
     return text.getvalue()
 
 
-@pytest.mark.parametrize("name", sorted(set(entry_point.queries()) - TRAINS))
+@pytest.mark.parametrize("name", sorted(set(REGISTRY.queries) - TRAINS))
 def test_no_python_and_no_cross_join(spark, sf, name):
-    text = plan(entry_point.queries()[name](spark, sf))
+    text = plan(REGISTRY.queries[name](spark, sf))
     for unwanted in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert unwanted not in text, unwanted
 
