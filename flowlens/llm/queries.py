@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from flowlens.llm import chat
+from flowlens.llm import bpe, chat
 from flowlens.plans.registry import Registry
 
 LLM = Registry()
@@ -46,3 +47,13 @@ def op10(spark, sf):
             "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(flat, 256).alias("turns_sha256"),
             F.length("trained").cast("long").alias("loss_chars"), F.sha2("trained", 256).alias("loss_sha256"),
             F.length("formatted").cast("long").alias("formatted_chars")))
+
+
+@LLM.add("op7_byte_bpe")
+def op7(spark, sf):
+    encoded = bpe.encode_texts(
+        table(spark, sf, "documents").select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        public_tokenizers.PATTERN)
+    return encoded.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
