@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from flowlens.llm import bpe, chat
+from flowlens.llm import bpe, chat, outliers
 from flowlens.plans.registry import Registry
 
 LLM = Registry()
@@ -57,3 +57,9 @@ def op7(spark, sf):
     return encoded.select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@LLM.add("op4_quality_rules")
+def op4(spark, sf):
+    stats = outliers.text_statistics(table(spark, sf, "documents").select("doc_id", "lang", "source", "text"))
+    return outliers.judge(stats.drop("text")).select("doc_id", *outliers.BASE, "base_failed", "kept", "distance2")
