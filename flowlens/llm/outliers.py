@@ -17,7 +17,7 @@ reject every newcomer.  The scatter is widened to the chi-square quantile of the
 
 Edge cases: null text counts as empty, and an empty text fails the base rules; null language or source is a value
 of its own; repeated rows count each; an empty table gives an empty result; other columns are passed
-through, and a column named like a result column is replaced.
+through, and a column named like a result column is replaced; names that begin with "_" are reserved.
 """
 
 from __future__ import annotations
@@ -122,40 +122,40 @@ def with_cells(rows: DataFrame, min_rows: int) -> DataFrame:
     n_coarse = n_fine.groupBy("_coarse").agg(F.sum("_n").alias("_m"))
     cells = materialise(n_fine.join(n_coarse, "_coarse").select(
         "_fine", F.when(F.col("_n") >= min_rows, F.col("_fine"))
-        .when(F.col("_m") >= min_rows, F.col("_coarse")).otherwise("*").alias("cell")), "cells")
+        .when(F.col("_m") >= min_rows, F.col("_coarse")).otherwise("*").alias("_cell")), "cells")
     return rows.join(cells, "_fine").drop("_fine", "_coarse")
 
 
 def _quartiles(rows: DataFrame) -> DataFrame:
     """Per cell: arrays of the three quartiles of each statistic, exact to 1/UNIT."""
-    long = rows.select("cell", F.posexplode(F.array(*NAMES)).alias("k", "x"))
-    counts = long.groupBy("cell", "k", "x").agg(F.count("*").alias("n"))
-    w = Window.partitionBy("cell", "k")
+    long = rows.select("_cell", F.posexplode(F.array(*NAMES)).alias("k", "x"))
+    counts = long.groupBy("_cell", "k", "x").agg(F.count("*").alias("n"))
+    w = Window.partitionBy("_cell", "k")
     counts = counts.withColumns({"cum": F.sum("n").over(w.orderBy("x")), "all": F.sum("n").over(w)})
     at = lambda q: F.min(F.when(F.col("cum") >= F.col("all") * q, F.col("x")))
-    per = counts.groupBy("cell", "k").agg(at(0.25).alias("q1"), at(0.5).alias("q2"), at(0.75).alias("q3"))
+    per = counts.groupBy("_cell", "k").agg(at(0.25).alias("q1"), at(0.5).alias("q2"), at(0.75).alias("q3"))
     pick = lambda c: F.transform(F.col("q"), lambda s: s[c].cast("double"))
-    return per.groupBy("cell").agg(F.sort_array(F.collect_list(F.struct("k", "q1", "q2", "q3"))).alias("q")).select(
-        "cell", *[pick(c).alias(c) for c in ("q1", "q2", "q3")])
+    return per.groupBy("_cell").agg(F.sort_array(F.collect_list(F.struct("k", "q1", "q2", "q3"))).alias("q")).select(
+        "_cell", *[pick(c).alias(c) for c in ("q1", "q2", "q3")])
 
 
 def _start(rows: DataFrame) -> DataFrame:
     """Per cell: centre and inverse scatter from medians and quartile distances."""
     floors = F.array(*[F.lit(f * UNIT) for f in FLOORS])
     spread = F.zip_with(F.zip_with("q3", "q1", lambda a, b: (a - b) / 1.349), floors, lambda s, f: F.greatest(s, f))
-    return _quartiles(rows).withColumn("s", spread).select("cell", F.col("q2").alias("centre"), F.flatten(
+    return _quartiles(rows).withColumn("s", spread).select("_cell", F.col("q2").alias("_centre"), F.flatten(
         F.transform("s", lambda s, i: F.transform(F.sequence(F.lit(0), F.lit(D - 1)), lambda j: F.when(
-            i == j, 1.0 / (s * s)).otherwise(0.0)))).alias("inverse"))
+            i == j, 1.0 / (s * s)).otherwise(0.0)))).alias("_inverse"))
 
 
 def _distance() -> Column:
     """Squared Mahalanobis distance of the row's vector from its cell's centre."""
-    gap = [F.col(n) - F.col("centre")[i] for i, n in enumerate(NAMES)]
+    gap = [F.col(n) - F.col("_centre")[i] for i, n in enumerate(NAMES)]
     total = F.lit(0.0)
     for i in range(D):
         inner = F.lit(0.0)
         for j in range(D):
-            inner = inner + F.col("inverse")[i * D + j] * gap[j]
+            inner = inner + F.col("_inverse")[i * D + j] * gap[j]
         total = total + inner * gap[i]
     return F.greatest(total, F.lit(0.0))
 
@@ -180,22 +180,22 @@ def _bin() -> Column:
 
 def _reach(placed: DataFrame, share: float) -> DataFrame:
     """Per cell: the bin up to which at least ``share`` of the rows lie."""
-    w = Window.partitionBy("cell")
-    counts = placed.groupBy("cell", "bin").agg(F.count("*").alias("n")).withColumns({
+    w = Window.partitionBy("_cell")
+    counts = placed.groupBy("_cell", "bin").agg(F.count("*").alias("n")).withColumns({
         "cum": F.sum("n").over(w.orderBy("bin")), "all": F.sum("n").over(w)})
-    return counts.filter(F.col("cum") >= F.col("all") * share).groupBy("cell").agg(F.min("bin").alias("reach"))
+    return counts.filter(F.col("cum") >= F.col("all") * share).groupBy("_cell").agg(F.min("bin").alias("reach"))
 
 
 def _place(rows: DataFrame, state: DataFrame) -> DataFrame:
-    return rows.join(state, "cell").withColumn("d2", _distance()).withColumn("bin", _bin())
+    return rows.join(state, "_cell").withColumn("d2", _distance()).withColumn("bin", _bin())
 
 
 def _concentrate(rows: DataFrame, state: DataFrame, share: float) -> DataFrame:
     """One step: mean and covariance of the rows nearest to the present centre."""
     placed = _place(rows, state)
-    near = placed.join(materialise(_reach(placed, share), "reach"), "cell").filter("bin <= reach")
+    near = placed.join(materialise(_reach(placed, share), "reach"), "_cell").filter("bin <= reach")
     whole = "decimal(38,0)"
-    sums = near.groupBy("cell").agg(
+    sums = near.groupBy("_cell").agg(
         F.count("*").alias("n"), *[F.sum(F.col(a).cast(whole)).alias(f"s{i}") for i, a in enumerate(NAMES)],
         *[F.sum((F.col(NAMES[i]) * F.col(NAMES[j])).cast(whole)).alias(f"p{i}_{j}")
           for i in range(D) for j in range(i, D)])
@@ -203,7 +203,7 @@ def _concentrate(rows: DataFrame, state: DataFrame, share: float) -> DataFrame:
     entry = lambda i, j: (F.col(f"p{min(i, j)}_{max(i, j)}").cast("double") / F.col("n") - mean[i] * mean[j]
                           + (F.lit((FLOORS[i] * UNIT) ** 2) if i == j else F.lit(0.0)))
     matrix = F.array(*[entry(i, j) for i in range(D) for j in range(D)])
-    return sums.select("cell", F.array(*mean).alias("centre"), _inverse(matrix).alias("inverse"))
+    return sums.select("_cell", F.array(*mean).alias("_centre"), _inverse(matrix).alias("_inverse"))
 
 
 def fit_mcd(rows: DataFrame, rules: Rules = Rules()) -> DataFrame:
@@ -213,8 +213,8 @@ def fit_mcd(rows: DataFrame, rules: Rules = Rules()) -> DataFrame:
         state = materialise(_concentrate(rows, state, rules.share), "mcd")
     reach = _reach(_place(rows, state), rules.share)
     top = F.pow(F.lit(2.0), (F.col("reach") + 1) / 64.0)
-    return materialise(state.join(reach, "cell").select(
-        "cell", "centre", "inverse", F.greatest(F.lit(1.0), top / CHI2_75[D]).alias("widen")), "mcd")
+    return materialise(state.join(reach, "_cell").select(
+        "_cell", "_centre", "_inverse", F.greatest(F.lit(1.0), top / CHI2_75[D]).alias("_widen")), "mcd")
 
 
 def quality_rules(docs: DataFrame, rules: Rules = Rules(), text: str = "text") -> DataFrame:
@@ -229,10 +229,10 @@ def judge(stats: DataFrame, rules: Rules = Rules()) -> DataFrame:
         "base_failed", (F.col("n_words") < rules.min_words)
         | (100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words"))), "stats")
     passed = stats.filter(~F.col("base_failed")).select("lang", "source", *NAMES)
-    cells = materialise(with_cells(passed, rules.min_rows).select("cell", *NAMES), "vectors")
+    cells = materialise(with_cells(passed, rules.min_rows).select("_cell", *NAMES), "vectors")
     model = fit_mcd(cells, rules)
     good = with_cells(stats.filter(~F.col("base_failed")), rules.min_rows)
-    judged = good.join(model, "cell").withColumn("distance2", _distance() / F.col("widen"))
+    judged = good.join(model, "_cell").withColumn("distance2", _distance() / F.col("_widen"))
     keep = [*stats.columns, "distance2"]
     return judged.select(*keep).unionByName(
         stats.filter("base_failed").withColumn("distance2", F.lit(None).cast("double")).select(*keep)
