@@ -7,6 +7,7 @@ All functions work on the UTF-8 buffer of a batch at once.  Words are runs of by
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -18,8 +19,6 @@ SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
-_MASK = (1 << 64) - 1
-
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every input bit reaches every output bit."""
@@ -39,7 +38,7 @@ class Roller:
 
     def __init__(self, seed: int):
         rng = np.random.default_rng(seed)
-        self.base = int(rng.integers(1 << 62, dtype=np.uint64)) * 8 + 5
+        self.base = int(rng.integers(1 << 61, dtype=np.uint64)) * 8 + 5
         self.inverse = pow(self.base, -1, 1 << 64)
         self.letters = rng.integers(1 << 63, size=256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         self.salt = np.uint64(rng.integers(1 << 63, dtype=np.uint64))
@@ -76,6 +75,12 @@ class Roller:
         return mix(found)
 
 
+@lru_cache(maxsize=16)
+def roller(seed: int) -> Roller:
+    """One per seed and process, so its powers are computed once."""
+    return Roller(seed)
+
+
 @dataclass
 class Texts:
     """The texts of a batch: one byte array and where each text begins (one more entry than texts)."""

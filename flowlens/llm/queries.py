@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from flowlens.llm import bpe, chat, outliers
+from flowlens.llm import bpe, chat, neardup, outliers
 from flowlens.plans.registry import Registry
 
 LLM = Registry()
@@ -63,3 +63,8 @@ def op7(spark, sf):
 def op4(spark, sf):
     stats = outliers.text_statistics(table(spark, sf, "documents").select("doc_id", "lang", "source", "text"))
     return outliers.judge(stats.drop("text")).select("doc_id", *outliers.BASE, "base_failed", "kept", "distance2")
+
+
+@LLM.add("op3_near_dedup")
+def op3(spark, sf):
+    return neardup.near_duplicates(table(spark, sf, "documents").select("doc_id", "text"))
