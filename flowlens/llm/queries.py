@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from flowlens.llm import bpe, chat, neardup, outliers
+from flowlens.llm import bpe, chat, neardup, outliers, secrets
 from flowlens.plans.registry import Registry
 
 LLM = Registry()
@@ -68,3 +68,9 @@ def op4(spark, sf):
 @LLM.add("op3_near_dedup")
 def op3(spark, sf):
     return neardup.near_duplicates(table(spark, sf, "documents").select("doc_id", "text"))
+
+
+@LLM.add("op9_secret_scan")
+def op9(spark, sf):
+    found = secrets.scan_secrets(table(spark, sf, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans")
