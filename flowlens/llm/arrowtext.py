@@ -6,6 +6,7 @@ All functions work on the UTF-8 buffer of a batch at once.  Words are runs of by
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -148,3 +149,17 @@ def whole_windows(first: np.ndarray, width: int) -> np.ndarray:
     n = int(first[-1])
     ends = np.repeat(first[1:], np.diff(first))
     return np.arange(n) + width <= ends
+
+
+PART_BYTES = 2 << 20  # bytes of text handled at once inside a task
+
+
+def parts_of(batch: pa.RecordBatch, at: int) -> Iterator[tuple[pa.RecordBatch, Texts]]:
+    """Slices of a batch with about PART_BYTES of text in column ``at``; a longer text is a slice of its own."""
+    texts = texts_of(batch.column(at))
+    start = 0
+    while start < len(texts):
+        end = max(start + 1, int(np.searchsorted(texts.offsets, texts.offsets[start] + PART_BYTES, "right")) - 1)
+        yield batch.slice(start, end - start), Texts(
+            texts.data[texts.offsets[start]: texts.offsets[end]], texts.offsets[start: end + 1] - texts.offsets[start])
+        start = end

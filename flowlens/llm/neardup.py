@@ -30,14 +30,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlens.llm.arrowtext import Texts, mix, roller, texts_of, whole_windows, word_hashes, words_of
+from flowlens.llm.arrowtext import Texts, mix, parts_of, roller, texts_of, whole_windows, word_hashes, words_of
 from flowlens.llm.components import connected_components
 from flowlens.runtime import materialise
 
 FULL = np.uint64((1 << 64) - 1)
 BLOCK_ROWS = 1000
 BLOCK_BYTES = 8 << 20
-PART_BYTES = 2 << 20  # bytes of text handled at once inside a task
 
 
 @dataclass(frozen=True)
@@ -108,23 +107,12 @@ def band_keys(sketch: np.ndarray, near: Near) -> np.ndarray:
     return mix((used * factors).sum(axis=2, dtype=np.uint64) + np.arange(1, near.bands + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
-def _parts(batch: pa.RecordBatch, at: int) -> Iterator[tuple[pa.RecordBatch, Texts]]:
-    """Slices of a batch with about PART_BYTES of text each."""
-    texts = texts_of(batch.column(at))
-    start = 0
-    while start < len(texts):
-        end = max(start + 1, int(np.searchsorted(texts.offsets, texts.offsets[start] + PART_BYTES, "right")) - 1)
-        yield batch.slice(start, end - start), Texts(
-            texts.data[texts.offsets[start]: texts.offsets[end]], texts.offsets[start: end + 1] - texts.offsets[start])
-        start = end
-
-
 def sketch_documents(docs: DataFrame, near: Near) -> DataFrame:
     """doc_id, n_shingles, two 64-bit hashes of the set, and the band keys (8 bytes each)."""
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, texts in _parts(batch, 1):
+            for part, texts in parts_of(batch, 1):
                 sets = shingle_sets(texts, near.width)
                 keys = band_keys(fast_sketch(sets, near.bins), near)
                 names = [roller(seed).spans(sets.values, sets.first[:-1], sets.first[1:]).view(np.int64) for seed in (16, 17)]

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from flowlens.llm import bpe, chat, neardup, outliers, secrets
+from flowlens.llm import bpe, chat, neardup, outliers, secrets, templates
 from flowlens.plans.registry import Registry
 
 LLM = Registry()
@@ -74,3 +74,14 @@ def op3(spark, sf):
 def op9(spark, sf):
     found = secrets.scan_secrets(table(spark, sf, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans")
+
+
+@LLM.add("op5_decontaminate")
+def op5(spark, sf):
+    found = templates.find_contamination(
+        table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "benchmark").select("item_id", "text"))
+    ids = F.array_sort(F.transform("hits", lambda h: h.item_id))
+    return found.select(
+        "doc_id", (F.size("hits") > 0).alias("contaminated"), F.size("hits").cast("long").alias("n_items"),
+        F.array_join(ids.cast("array<string>"), ",").alias("item_ids"),
+        F.size(F.filter("hits", lambda h: ~h.verbatim)).cast("long").alias("n_changed"))
