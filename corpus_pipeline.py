@@ -1,11 +1,66 @@
-"""From raw documents to token ids: the stages of a training-data pipeline, each written and read again."""
+"""From raw documents to token ids: the stages of a training-data pipeline, each written and read again.
+
+Every stage takes (spark, docs, sf_dir) and works on all rows that its predecessor kept.  All but the last return
+the columns of ``documents``.  SQL can express neither the robust estimate nor the sketches, the network or the merges,
+so there is no SQL twin; ``tests/llm/test_pipeline.py`` composes brute-force versions instead.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from flowlens.llm import bpe, neardup, outliers, secrets, templates
+from flowlens.runtime import materialise
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+MARK = "<secret>"
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and are no outliers of their language and source."""
+    return outliers.quality_rules(docs.select(*COLUMNS)).filter("kept").select(*COLUMNS)
+
+
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The least doc_id of every group of near-duplicates."""
+    dropped = neardup.near_duplicates(docs).filter("NOT kept").select("doc_id").distinct()
+    return docs.select(*COLUMNS).join(dropped, "doc_id", "left_anti").select(*COLUMNS)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return templates.find_contamination(docs.select(*COLUMNS), items).filter(F.size("hits") == 0).select(*COLUMNS)
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, with its secrets replaced by ``MARK``; n_chars follows where a text has changed."""
+    found = secrets.scan_secrets(docs.select(*COLUMNS), mark=MARK)
+    return found.withColumn("n_chars", F.when(F.col("spans") == "", F.col("n_chars")).otherwise(
+        F.length("text").cast("long"))).select(*COLUMNS)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids (4 bytes each, little-endian) with their count, and digests of ids and decoded text."""
+    encoded = bpe.encode_texts(docs.select("doc_id", "lang", "source", "text"),
+                               public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return encoded.select(
+        "doc_id", "lang", "source", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids",
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+STAGES = [
+    ("quality rules", keep_quality), ("near-duplicates", keep_one_of_each), ("decontamination", drop_contaminated),
+    ("secrets", redact_secrets), ("token ids", encode),
+]
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to ``documents``."""
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = materialise(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
+    return docs
