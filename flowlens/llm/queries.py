@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from flowlens.llm import bpe, chat, neardup, outliers, secrets, templates
+from flowlens.llm import bpe, chat, neardup, outliers, quality, secrets, templates
 from flowlens.plans.registry import Registry
 
 LLM = Registry()
@@ -85,3 +85,11 @@ def op5(spark, sf):
         "doc_id", (F.size("hits") > 0).alias("contaminated"), F.size("hits").cast("long").alias("n_items"),
         F.array_join(ids.cast("array<string>"), ",").alias("item_ids"),
         F.size(F.filter("hits", lambda h: ~h.verbatim)).cast("long").alias("n_changed"))
+
+
+@LLM.add("op1_quality_classifier")
+def op1(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    model = quality.fit_on(docs, table(spark, sf, "labels").select("doc_id", "quality"))
+    return quality.score_quality(docs, model).select(
+        "doc_id", quality.is_held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
