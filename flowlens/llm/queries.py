@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from flowlens.llm import bpe, chat, neardup, outliers, quality, secrets, templates
+from flowlens.llm import bpe, chat, licences, neardup, outliers, quality, secrets, templates
 from flowlens.plans.registry import Registry
 
 LLM = Registry()
@@ -93,3 +93,10 @@ def op1(spark, sf):
     model = quality.fit_on(docs, table(spark, sf, "labels").select("doc_id", "quality"))
     return quality.score_quality(docs, model).select(
         "doc_id", quality.is_held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@LLM.add("op6_licence_scan")
+def op6(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    found = licences.find_licences(docs, licences.fit(docs))
+    return licences.licences_by_document(docs, found).withColumn("families", F.array_join("families", ","))
