@@ -154,12 +154,12 @@ def whole_windows(first: np.ndarray, width: int) -> np.ndarray:
 PART_BYTES = 2 << 20  # bytes of text handled at once inside a task
 
 
-def parts_of(batch: pa.RecordBatch, at: int) -> Iterator[tuple[pa.RecordBatch, Texts]]:
-    """Slices of a batch with about PART_BYTES of text in column ``at``; a longer text is a slice of its own."""
+def parts_of(batch: pa.RecordBatch, at: int, size: int = PART_BYTES) -> Iterator[tuple[pa.RecordBatch, Texts]]:
+    """Slices of a batch with about ``size`` bytes of text in column ``at``; a longer text is a slice of its own."""
     texts = texts_of(batch.column(at))
     start = 0
     while start < len(texts):
-        end = max(start + 1, int(np.searchsorted(texts.offsets, texts.offsets[start] + PART_BYTES, "right")) - 1)
+        end = max(start + 1, int(np.searchsorted(texts.offsets, texts.offsets[start] + size, "right")) - 1)
         yield batch.slice(start, end - start), Texts(
             texts.data[texts.offsets[start]: texts.offsets[end]], texts.offsets[start: end + 1] - texts.offsets[start])
         start = end

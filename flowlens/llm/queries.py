@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from flowlens.llm import bpe, chat, licences, neardup, outliers, quality, secrets, templates
+from flowlens.llm import blockdedup, bpe, chat, licences, neardup, outliers, quality, secrets, templates
 from flowlens.plans.registry import Registry
 
 LLM = Registry()
@@ -100,3 +100,8 @@ def op6(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     found = licences.find_licences(docs, licences.fit(docs))
     return licences.licences_by_document(docs, found).withColumn("families", F.array_join("families", ","))
+
+
+@LLM.add("op2_substring_dedup")
+def op2(spark, sf):
+    return blockdedup.remove_repeats(table(spark, sf, "documents")).drop("removed")

@@ -1,0 +1,67 @@
+"""Repeated word windows against a plain count of all windows."""
+
+import hashlib
+import random
+import re
+from collections import Counter
+
+import pytest
+
+from flowlens.llm import blockdedup as b
+from flowlens.llm import shards
+from flowlens.llm.queries import LLM
+
+WORD = re.compile("[^\x20\x09-\x0D]+")
+
+
+def brute(rows, window=35):
+    words = [WORD.findall(t or "") for _, t in rows]
+    seen = Counter(tuple(w[i: i + window]) for w in words for i in range(len(w) - window + 1))
+    out = []
+    for (doc, _), w in zip(rows, words):
+        gone = {i + k for i in range(len(w) - window + 1) if seen[tuple(w[i: i + window])] > 1 for k in range(window)}
+        kept = " ".join(x for i, x in enumerate(w) if i not in gone)
+        out.append((doc, len(w), len(gone), hashlib.sha256(kept.encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+def got(df):
+    return sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in df.collect()), key=str)
+
+
+def test_query(spark, sf):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    assert got(LLM.queries["op2_substring_dedup"](spark, sf)) == brute(rows)
+
+
+def planted(seed, window):
+    rng = random.Random(seed)
+    text = lambda n: [f"w{rng.randint(0, 10**6)}" for _ in range(n)]
+    passages = [text(rng.randint(window - 3, 3 * window)) for _ in range(4)]
+    rows = []
+    for i in range(120):
+        w = text(rng.randint(0, 60))
+        for _ in range(rng.randint(0, 3)):
+            p = rng.choice(passages)
+            cut = rng.randint(0, len(p))
+            w += p[rng.randint(0, cut): max(cut, rng.randint(0, len(p)))] + text(rng.randint(0, 30))
+        rows.append((i, "".join(x + rng.choice([" ", "\n", "  ", "\t "]) for x in w)))
+    rows += [(200, "a b " * 300), (201, "x " * 34), (202, "y " * 35), (203, "y " * 36), (204, "y " * 35), (205, " "), (206, ""), (207, None),
+             (None, rows[3][1]), (3, rows[3][1]), (208, "é ß " * 40), (209, "q")]
+    return rows
+
+
+@pytest.mark.parametrize(("window", "shard", "bucket"), [(35, 4 << 20, 2_500_000), (35, 700, 100), (4, 300, 40), (5, 2000, 10**6)])
+def test_planted(spark, monkeypatch, window, shard, bucket):
+    monkeypatch.setattr(shards, "SHARD_BYTES", shard)
+    monkeypatch.setattr(b, "BUCKET_KEYS", bucket)
+    rows = planted(window, window)
+    df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, ids string").repartition(3)
+    out = b.remove_repeats(df, window)
+    assert got(out) == brute(rows, window)
+    for r in out.collect():
+        assert sum(s.end - s.start for s in r.removed) == r.n_removed
+
+
+def test_empty(spark):
+    assert b.remove_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
