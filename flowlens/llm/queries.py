@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from flowlens.llm import blockdedup, bpe, chat, licences, neardup, outliers, quality, secrets, templates
+from flowlens.llm import blockdedup, bpe, chat, licences, neardup, outliers, quality, secrets, suffixdedup, templates
 from flowlens.plans.registry import Registry
 
 LLM = Registry()
@@ -105,3 +105,8 @@ def op6(spark, sf):
 @LLM.add("op2_substring_dedup")
 def op2(spark, sf):
     return blockdedup.remove_repeats(table(spark, sf, "documents")).drop("removed")
+
+
+@LLM.add("op8_suffix_dedup")
+def op8(spark, sf):
+    return suffixdedup.remove_repeats(table(spark, sf, "documents")).drop("removed")
