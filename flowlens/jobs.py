@@ -10,22 +10,23 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StringType, StructField, StructType
 
 from flowlens.detection.detector import Detector, boosted_stages, fit_two_stage, forest_stages, load_detector
 from flowlens.detection.report import evaluate_detector
-from flowlens.operators.alerts import alerts_from_predictions
+from flowlens.operators.alerts import alerts_from_predictions, detection_counts
 from flowlens.operators.clean import clean_flows
 from flowlens.operators.profile import PROFILE_KEYS, TrafficProfile, enrich, fit_profile
 from flowlens.operators.split import chronological_split, split_counts
 from flowlens.runtime import get_spark, materialise
 from flowlens.schema import flow_schema
 from flowlens.sources.readers import read_flows, read_table
-from flowlens.sources.writers import write_json_document, write_table
+from flowlens.sources.writers import write_alerts, write_json_document, write_table
 from flowlens.streaming import jobs as streams
-from flowlens.streaming.ingest import decode_flows, topic_stream
+from flowlens.streaming.ingest import CORRUPT, decode_flows, topic_stream
 
 
 def prepare_flows(spark: SparkSession, paths: str | list[str], out: str, fraction: float = 0.8,
@@ -66,21 +67,58 @@ def train_detector(spark: SparkSession, data: str, model: str, kind: str = "fore
     return report.verdict
 
 
-def score_messages(messages: DataFrame, detector: Detector, profile: TrafficProfile) -> DataFrame:
+MESSAGE = "_message"
+PLACE = ("topic", "partition", "offset")
+
+
+def score_messages(messages: DataFrame, detector: Detector, profile: TrafficProfile, keep: tuple[str, ...] = ()) -> DataFrame:
     """Flow messages to scored rows: decoded, cleaned, enriched like the training data."""
-    rows = decode_flows(messages, flow_schema())
+    rows = decode_flows(messages, flow_schema(), keep=keep)
     return detector.score(enrich(clean_flows(rows, drop=[]), profile))
 
 
+def split_rejects(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Messages that can be decoded, and those that can not (nothing but NULLs, or broken JSON)."""
+    parsed = F.from_json(F.col("value").cast("string"), StructType([StructField(CORRUPT, StringType())]),
+                         {"columnNameOfCorruptRecord": CORRUPT})
+    broken = parsed.isNull() | parsed[CORRUPT].isNotNull()
+    return messages.filter(~broken), messages.filter(broken)
+
+
+def alerts_by_message(messages: DataFrame, detector: Detector, profile: TrafficProfile, now: Column) -> tuple[DataFrame, DataFrame]:
+    """Scored rows and alerts of readable messages; the id of an alert is the place or the text of its message."""
+    scored = materialise(score_messages(messages, detector, profile, (MESSAGE,)), "scored")
+    seen = F.coalesce(F.col("event_time"), now)
+    return scored, alerts_from_predictions(scored, category="predicted_class", source="streaming", now=seen, identity=[MESSAGE])
+
+
 def watch(messages: DataFrame, detector: Detector, profile: TrafficProfile, alerts: str, checkpoint: str,
           drain: bool = False) -> StreamingQuery:
-    """Write an alert for every attack in a message stream, every five seconds or until drained."""
+    """Write an alert for every attack in a message stream, every five seconds or until drained.
 
-    def to_alerts(batch: DataFrame) -> DataFrame:
-        seen = F.coalesce(F.col("event_time"), F.current_timestamp())
-        return alerts_from_predictions(batch, category="predicted_class", source="streaming", now=seen)
-
-    return streams.start(score_messages(messages, detector, profile), alerts, checkpoint, to_alerts, drain=drain)
+    A message delivered again within the watermark is dropped.  Per micro-batch the
+    store gets its alerts, ``<alerts>_rejects`` the messages that can not be read, and
+    ``<alerts>_counts`` the numbers of records and attacks; a replayed batch replaces all
+    three.
+    """
+    place = [F.col(c).cast("string") for c in PLACE if c in messages.columns]
+    told = messages.select(
+        F.col("value").cast("string").alias("value"), F.current_timestamp().alias("arrived"),
+        F.sha2(F.concat_ws("\n", *place) if place else F.coalesce(F.col("value").cast("string"), F.lit("")), 256).alias(MESSAGE))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        stored = materialise(batch, "messages")
+        good, bad = split_rejects(stored)
+        scored, found = alerts_by_message(good, detector, profile, stored.agg(F.max("arrived")).scalar())
+        name = f"stream-{batch_id}"
+        write_alerts(found, alerts, name)
+        write_alerts(bad.select("value", F.col("arrived").alias("timestamp")), f"{alerts}_rejects", name)
+        counts = detection_counts(scored.withColumn("batch_id", F.lit(batch_id)), flag="predicted_attack")
+        counts.write.mode("overwrite").parquet(f"{alerts}_counts/batch={batch_id}")
+
+    fresh = streams.without_redelivery(told, "arrived", [MESSAGE])
+    writer = fresh.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
+    return (writer.trigger(availableNow=True) if drain else writer.trigger(processingTime=streams.TRIGGER)).start()
 
 
 def main() -> None:

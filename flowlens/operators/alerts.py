@@ -8,28 +8,34 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowlens.functions.columns import (
     THREAT_EDGES, THREAT_NAMES, alert_confidence, alert_threat_score, threat_bucket,
 )
-from flowlens.operators.sequence import dense_index
 from flowlens.runtime import materialise
 from flowlens.schema import (
     ALERT_DEFAULTS, ALL_CLASSES, CLOSED_STATUSES, LIFECYCLE_STATUSES, NORMAL,
     SELF_ANNOUNCING_SOURCES, UPDATE_STATUSES, alert_schema,
 )
 
-# Past this many rows a page is cut from the numbered table instead of a top-k.
-DEEP_PAGE_ROWS = 100_000
+CONTENT_ID = "_content_id"
+NO_DAY = -1_000_000_000  # where alerts without a time stand: after all others
 
 
 # ---- ingest -------------------------------------------------------------
 
 def normalise_alerts(df: DataFrame, now: Column) -> DataFrame:
-    """Incoming records in alert layout: defaults for missing or NULL fields, status pending."""
-    time_type = dict(df.dtypes).get("timestamp", "timestamp")
+    """Incoming records in alert layout: defaults for missing or NULL fields, status pending.
+
+    A field of another type is cast; what can not be cast counts as missing.  An
+    alert without an id gets one from its content, so a replay repeats it, and
+    records with equal content are one alert.
+    """
+    # zone-free input stays zone-free, anything else becomes an instant
+    time_type = "timestamp_ntz" if dict(df.dtypes).get("timestamp") == "timestamp_ntz" else "timestamp"
+    content = [c for c in df.columns if c != CONTENT_ID]
 
     def field(name: str, kind: str) -> Column:
         present = F.col(name) if name in df.columns else F.lit(None)
@@ -45,28 +51,32 @@ def normalise_alerts(df: DataFrame, now: Column) -> DataFrame:
         elif f.name in ("resolved_by", "resolved_at"):
             value = F.lit(None).cast(time_type if f.name == "resolved_at" else kind)
         elif f.name == "timestamp":
-            value = F.coalesce(F.col("timestamp"), now) if "timestamp" in df.columns else now
+            value = F.coalesce(F.col("timestamp").try_cast(time_type), now.cast(time_type)) if "timestamp" in df.columns else now
         else:
-            # an id is given, or derived from the content so that a replay repeats it
-            derived = F.sha2(F.to_json(F.struct(*df.columns)), 256)
+            derived = F.col(CONTENT_ID) if CONTENT_ID in df.columns else F.sha2(F.to_json(F.struct(*content)), 256)
             value = F.coalesce(F.col("id").cast("string"), derived) if "id" in df.columns else derived
         out.append(value.alias(f.name))
-    return df.select(*out)
+    alerts = df.select(*out)
+    return alerts if "id" in df.columns else alerts.dropDuplicates(["id"])
 
 
 def alerts_from_predictions(scored: DataFrame, probability: str = "attack_probability",
-                            category: str = "attack_cat", source: str = "batch_predict",
-                            now: Column | None = None) -> DataFrame:
-    """Alert rows of the flows judged to be attacks."""
+                            category: str = "attack_cat", source: str = "batch_predict", *,
+                            now: Column, identity: list[str] | None = None) -> DataFrame:
+    """Alert rows of the flows judged to be attacks, at the time ``now``.
+
+    ``identity`` names the columns that tell one flow from another, such as the
+    place of its message in a topic; without it two flows that are equal in every
+    column are one alert.  The time is no part of the id.
+    """
     p = F.col(probability)
-    extra = {} if now is None else {"timestamp": now}
+    known = identity or [c for c in scored.columns if c != "timestamp"]
     return normalise_alerts(
         scored.filter(p >= 0.5).withColumns({
+            CONTENT_ID: F.sha2(F.to_json(F.struct(*known)), 256),
             "attack_cat": F.col(category), "confidence": alert_confidence(p),
-            "threat_score": alert_threat_score(p), "source": F.lit(source), **extra,
-        }),
-        now if now is not None else F.current_timestamp(),
-    )
+            "threat_score": alert_threat_score(p), "source": F.lit(source), "timestamp": now,
+        }), now)
 
 
 # ---- lists --------------------------------------------------------------
@@ -82,16 +92,24 @@ def newest_first(alerts: DataFrame) -> DataFrame:
 def alerts_page(alerts: DataFrame, page: int = 1, limit: int = 20, status: str | None = None) -> DataFrame:
     """One page of alerts, newest first; equal times by id.
 
-    A shallow page is a top-k.  A deep one would make every task keep
-    offset + limit rows, so it is cut from the numbered table instead.
+    The place of the page in time is found first: alerts are counted per day, then
+    per second of the days that hold the page (a row per day and per second of
+    these few days).  Only the seconds of the page are then sorted, at any depth.
     """
     if limit < 1 or page < 1:
         raise ValueError("page and limit must be at least 1")
     chosen, skip = with_status(alerts, status), (page - 1) * limit
-    if skip + limit <= DEEP_PAGE_ROWS:
-        return newest_first(chosen).offset(skip).limit(limit)
-    numbered = dense_index(chosen, [F.desc("timestamp"), F.desc("id")], "_seq")
-    return numbered.filter(F.col("_seq").between(skip + 1, skip + limit)).orderBy("_seq").drop("_seq")
+    day = F.coalesce(F.floor(F.unix_seconds(F.col("timestamp").cast("timestamp")) / 86_400), F.lit(NO_DAY))
+    second = F.coalesce(F.unix_seconds(F.col("timestamp").cast("timestamp")), F.lit(NO_DAY * 86_400))
+    for unit in (day, second):
+        w = Window.orderBy(F.desc("unit"))
+        counts = chosen.groupBy(unit.alias("unit")).agg(F.count("*").alias("n")).withColumn("upto", F.sum("n").over(w))
+        held = counts.filter((F.col("upto") > skip) & (F.col("upto") - F.col("n") < skip + limit)).agg(
+            F.min("unit"), F.max("unit"), F.min(F.col("upto") - F.col("n"))).first()
+        if held[0] is None:
+            return chosen.limit(0)
+        chosen, skip = chosen.filter(unit.between(held[0], held[1])), skip - held[2]
+    return newest_first(chosen).offset(int(skip)).limit(limit)
 
 
 def alerts_after(alerts: DataFrame, timestamp, alert_id: str, limit: int = 20) -> DataFrame:
@@ -152,7 +170,7 @@ def check_updates(updates: DataFrame, allowed: list[str] = UPDATE_STATUSES) -> C
     """Updates with a known status and a named resolver, and the rest with the reason."""
     bad_status = ~F.coalesce(F.col("status").isin(allowed), F.lit(False))
     nameless = F.coalesce(F.trim("resolved_by"), F.lit("")) == ""
-    reason = F.when(bad_status, "Invalid status").when(nameless, "resolved_by is required")
+    reason = F.when(bad_status, "unknown-status").when(nameless, "no-resolver")
     marked = updates.withColumn("reason", reason)
     return CheckedUpdates(
         accepted=marked.filter("reason is null").drop("reason").withColumn("resolved_by", F.trim("resolved_by")),
@@ -257,11 +275,11 @@ def batch_stats(alerts: DataFrame, edges: list[int] = THREAT_EDGES, names: list[
     )
 
 
-def batch_stats_document(alerts: DataFrame) -> DataFrame:
+def batch_stats_document(alerts: DataFrame, now: Column) -> DataFrame:
     """The same figures as one nested row.
 
     The arrays hold a row per hour, band and class.  With no alerts they fall
-    back to the current hour and the lowest band with a count of zero.
+    back to the hour of ``now`` and the lowest band with a count of zero.
     """
     flat = batch_stats(alerts)
 
@@ -281,7 +299,7 @@ def batch_stats_document(alerts: DataFrame) -> DataFrame:
     )
     return doc.withColumns({
         "peak_hours": F.when(F.size(hours) > 0, hours).otherwise(F.array(F.struct(
-            F.date_format(F.current_timestamp(), "HH").alias("hour"), zero.alias("attack_count")))),
+            F.date_format(now, "HH").alias("hour"), zero.alias("attack_count")))),
         "threat_score_distribution": F.when(F.size(bands) > 0, bands).otherwise(F.array(F.struct(
             F.lit(f"[{THREAT_EDGES[0]},{THREAT_EDGES[1]}) {THREAT_NAMES[0]}").alias("range"), zero.alias("count")))),
     })

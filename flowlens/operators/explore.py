@@ -75,13 +75,16 @@ def window_counts(df: DataFrame, time: Column | str, width: str = "5 minutes",
 
 
 def hour_pivot(df: DataFrame, time: Column | str, categories: list[str],
-               column: str = "attack_cat") -> DataFrame:
+               column: str = "attack_cat", other: str = "other") -> DataFrame:
     """Hour of day by class; an absent cell stays NULL.
 
-    The class list is given, so no extra job looks for it.
+    The class list is given, so no extra job looks for it; rows of any class
+    outside it are counted in the column ``other``.
     """
     t = F.col(time) if isinstance(time, str) else time
-    return labelled(df, column).groupBy(F.hour(t).alias("hour")).pivot(column, categories).count()
+    listed = F.when(F.col(column).isin(categories), F.col(column)).otherwise(other)
+    return (labelled(df, column).select(F.hour(t).alias("hour"), listed.alias("_class"))
+            .groupBy("hour").pivot("_class", [*categories, other]).count())
 
 
 def describe_column(df: DataFrame, column: str) -> DataFrame:

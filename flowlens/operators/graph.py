@@ -6,6 +6,8 @@ A hub may touch a third of all edges, so joins on a vertex go through
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +15,7 @@ from flowlens.operators.clean import with_endpoints
 from flowlens.runtime import materialise
 
 ROWS_PER_SPLIT = 1_000_000
+MOST_HUBS = 10_000
 
 
 def graph_edges(flows: DataFrame) -> DataFrame:
@@ -52,9 +55,11 @@ def join_on_hubs(rows: DataFrame, table: DataFrame, key: str, weight: str,
     ``table[weight]`` tells how many rows share the key.  Keys above
     ``rows_per_split`` are spread: their rows get one of several salts and
     their table row is repeated per salt, so no task meets more than about
-    ``rows_per_split`` rows of a key.  There are at most
-    total rows / ``rows_per_split`` such keys, which bounds the broadcast.
+    ``rows_per_split`` rows of a key.  The bound grows with the total weight, so
+    that there are never more than ``MOST_HUBS`` such keys to broadcast.
     """
+    total = table.agg(F.sum(weight)).first()[0] or 0
+    rows_per_split = max(rows_per_split, -(-int(total) // MOST_HUBS))
     splits = F.greatest(F.lit(1), F.ceil(F.col(weight) / rows_per_split)).cast("int")
     hubs = table.filter(F.col(weight) > rows_per_split).select(key, splits.alias("_splits"))
     salted = (
@@ -116,12 +121,14 @@ def connected_components(edges: DataFrame, max_rounds: int = 100,
     return linked.unionByName(alone)
 
 
-def shortest_paths(edges: DataFrame, source: str, directed: bool = True, max_depth: int = 20,
+def shortest_paths(edges: DataFrame, source: str, directed: bool = True, max_depth: int | None = None,
                    rows_per_split: int = ROWS_PER_SPLIT) -> DataFrame:
     """(id, distance, via): hops from ``source`` and the least predecessor on a shortest path.
 
     Breadth-first: each round joins the newly reached vertices with the edges
-    and keeps the ends not seen before.  ``max_depth`` limits the hops.
+    and keeps the ends not seen before, until a round finds none.  ``max_depth``
+    asks for the vertices within so many hops only.  Edges that do not start in
+    the frontier are dropped before the shuffle of a hop.
     """
     spark = edges.sparkSession
     steps = edges.select("src", "dst")
@@ -134,10 +141,10 @@ def shortest_paths(edges: DataFrame, source: str, directed: bool = True, max_dep
     schema = "id string, distance int, via string"
     reached = spark.createDataFrame([(source, 0, None)], schema)
     level = reached
-    for hop in range(1, max_depth + 1):
+    for hop in count(1) if max_depth is None else range(1, max_depth + 1):
         frontier = materialise(fan_out.join(level.select(F.col("id").alias("src")), "src"), "frontier")
         found = (
-            join_on_hubs(steps, frontier, "src", "n", rows_per_split)
+            join_on_hubs(steps.join(frontier.select("src"), "src", "left_semi"), frontier, "src", "n", rows_per_split)
             .groupBy(F.col("dst").alias("id")).agg(F.min("src").alias("via"))
             .join(reached.select("id"), "id", "left_anti")
             .select("id", F.lit(hop).alias("distance"), "via")
@@ -146,4 +153,6 @@ def shortest_paths(edges: DataFrame, source: str, directed: bool = True, max_dep
         if level.isEmpty():
             break
         reached = reached.unionByName(level)
+        if hop % 16 == 0:  # keep the plan of a long walk short
+            reached = materialise(reached, "reached")
     return reached

@@ -113,8 +113,8 @@ def connection_counts(
 ) -> DataFrame:
     """Per flow, how many of the ``last`` connections share its endpoints.
 
-    The numbered table is cut into blocks of consecutive rows; the last
-    ``last - 1`` rows of a block are also handed to the next one.  Every count
+    The numbered table is cut into blocks of consecutive rows; a row is also
+    handed to every later block that begins within ``last - 1`` rows.  Every count
     is then local to a block, so all features share one shuffle, and an address
     that owns a third of the traffic is spread over the blocks instead of
     filling one task.
@@ -122,11 +122,10 @@ def connection_counts(
     wanted = features or list(CONNECTION_COUNTS)
     numbered = dense_index(flows, order, "_seq")
     home = F.floor((F.col("_seq") - 1) / block_rows).cast("long")
-    near_end = F.pmod(F.col("_seq") - 1, F.lit(block_rows)) >= block_rows - (last - 1)
+    reach = F.floor((F.col("_seq") - 1 + last - 1) / block_rows).cast("long")
     blocked = (
         numbered.withColumn("_home", home)
-        .withColumn("_block", F.explode(
-            F.when(near_end, F.array("_home", F.col("_home") + 1)).otherwise(F.array("_home"))))
+        .withColumn("_block", F.explode(F.sequence("_home", reach)))
         .repartition("_block")
     )
     counted = blocked.withColumns({

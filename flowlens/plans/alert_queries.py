@@ -213,7 +213,7 @@ def _(spark, sf):
 
 @REG.add("alert_updates_rejected", UPDATES + """
  SELECT id, status, resolved_by, resolved_at,
-        CASE WHEN status NOT IN ('pending', 'handled') THEN 'Invalid status' ELSE 'resolved_by is required' END AS reason
+        CASE WHEN status NOT IN ('pending', 'handled') THEN 'unknown-status' ELSE 'no-resolver' END AS reason
  FROM updates WHERE status NOT IN ('pending', 'handled') OR trim(coalesce(resolved_by, '')) = ''""")
 def _(spark, sf):
     return ops.check_updates(updates(spark, sf)).rejected
@@ -291,7 +291,7 @@ def _(spark, sf):
         (SELECT '[' || string_agg('{{"attack_cat":"' || k || '","count":' || n || '}}', ',' ORDER BY k) || ']' FROM c) AS category_summary,
         (SELECT count(*) FROM alerts) AS total_records_processed""")
 def _(spark, sf):
-    doc = ops.batch_stats_document(alerts(spark, sf))
+    doc = ops.batch_stats_document(alerts(spark, sf), F.lit("2024-01-01").cast("timestamp"))
     return doc.select(*[F.to_json(c).alias(c) for c in
                         ("peak_hours", "threat_score_distribution", "category_summary")], "total_records_processed")
 

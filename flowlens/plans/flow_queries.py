@@ -11,7 +11,7 @@ from flowlens.operators import explore, graph, profile, sequence, split
 from flowlens.operators.clean import clean_flows
 from flowlens.operators.encode import category_codes, encode
 from flowlens.operators.sampling import class_weights, sample_by_hash, undersample, with_class_weights
-from flowlens.plans.adapters import FLOW_ORDER, FLOWS_SQL, PACKETS_SQL, flows, named_flows, packets
+from flowlens.plans.adapters import FLOW_ORDER, FLOWS_SQL, PACKETS_SQL, flows, named_flows, packets, table
 from flowlens.plans.registry import Registry, r6
 from flowlens.runtime import scratch_path
 from flowlens.schema import PROFILE_MEASURES, flow_schema
@@ -354,13 +354,23 @@ def _(spark, sf):
          + to_seconds(1421927414 + row_number() OVER (ORDER BY {_ORDER_SQL})) AS ts FROM named)
  SELECT CAST(hour(ts) AS INT) AS hour,
         {', '.join(f"nullif(count(*) FILTER (attack_cat = '{c}'), 0) AS {c}"
-                   for c in ("Normal", "Backdoor", "DoS", "Fuzzers", "Worms"))}
+                   for c in ("Normal", "Backdoor", "DoS", "Fuzzers", "Worms"))},
+        nullif(count(*) FILTER (attack_cat NOT IN ('Normal', 'Backdoor', 'DoS', 'Fuzzers', 'Worms')), 0) AS other
  FROM t GROUP BY 1""")
 def _(spark, sf):
     stamped = _stamped(spark, sf).withColumn("attack_cat", attack_name("attack_cat"))
     return explore.hour_pivot(stamped, "ts", ["Normal", "Backdoor", "DoS", "Fuzzers", "Worms"])
 
 
+@REG.add("hour_pivot_unlisted", """
+ SELECT CAST(hour(ts) AS INT) AS hour, nullif(count(*) FILTER (event_type = 'click'), 0) AS click,
+        nullif(count(*) FILTER (event_type <> 'click'), 0) AS other
+ FROM events GROUP BY 1""")
+def _(spark, sf):
+    """Classes that the caller does not list are counted together."""
+    return explore.hour_pivot(table(spark, sf, "events"), "ts", ["click"], "event_type")
+
+
 def _stamped(spark, sf):
     rows = flows(spark, sf).select("attack_cat", *FLOW_ORDER)
     return (sequence.synthetic_timestamps(rows, FLOW_ORDER)
@@ -451,6 +461,22 @@ def _(spark, sf):
     return graph.shortest_paths(edges, "s1", directed=False)
 
 
+@REG.add("ip_bfs_deep", """
+WITH RECURSIVE links AS (
+   SELECT DISTINCT strftime(date_trunc('quarter', o_orderdate), '%Y-%m') AS a,
+          strftime(date_trunc('quarter', o_orderdate) + INTERVAL 3 MONTH, '%Y-%m') AS b FROM orders),
+ walk AS (SELECT min(a) AS id, 0 AS distance FROM links UNION ALL
+          SELECT l.b, w.distance + 1 FROM walk w JOIN links l ON l.a = w.id)
+ SELECT id, distance, CASE WHEN distance > 0 THEN strftime(CAST(id || '-01' AS DATE) - INTERVAL 3 MONTH, '%Y-%m') END AS via
+ FROM walk""")
+def _(spark, sf):
+    """A walk of more than twenty hops: every order leads from its quarter to the next."""
+    quarter = F.date_trunc("quarter", "o_orderdate")
+    edges = table(spark, sf, "orders").select(
+        F.date_format(quarter, "yyyy-MM").alias("src"), F.date_format(F.add_months(quarter, 3), "yyyy-MM").alias("dst"))
+    return graph.shortest_paths(edges, edges.agg(F.min("src")).first()[0])
+
+
 # ---- files and messages -------------------------------------------------
 
 _LAYOUT = ["srcip", "sport", "dstip", "dsport", "proto", "state", "dur", "sbytes", "dbytes", "service",

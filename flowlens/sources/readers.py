@@ -19,10 +19,13 @@ def read_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def read_named_csv(spark: SparkSession, path: str | list[str], names: DataFrame,
-                   name_column: str = "Name") -> DataFrame:
-    """Headerless CSV whose column names are the rows of a description table."""
-    columns = [r[0].strip() for r in names.select(name_column).toLocalIterator()]
-    return spark.read.csv(path, header=False, inferSchema=True).toDF(*columns)
+                   name_column: str = "Name", position: str = "No.") -> DataFrame:
+    """Headerless CSV whose column names are the rows of a description table, in the order of ``position``."""
+    columns = [r[0].strip() for r in names.orderBy(F.col(f"`{position}`").cast("long")).select(name_column).toLocalIterator()]
+    rows = spark.read.csv(path, header=False, inferSchema=True)
+    if len(columns) != len(rows.columns):
+        raise ValueError(f"{len(columns)} column names for {len(rows.columns)} columns of {path}")
+    return rows.toDF(*columns)
 
 
 def read_table(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -37,7 +40,8 @@ def read_partition(spark: SparkSession, path: str, column: str = "label", value=
 
 def read_alerts_since(spark: SparkSession, path: str, since: Column) -> DataFrame:
     """Stored alerts from ``since`` on; folders of earlier days are not opened."""
-    return spark.read.parquet(path).filter((F.col("day") >= F.to_date(since)) & (F.col("timestamp") >= since)).drop("day")
+    return spark.read.parquet(path).filter(
+        (F.col("day") >= F.to_date(since)) & (F.col("timestamp") >= since)).drop("day", "batch_id")
 
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:

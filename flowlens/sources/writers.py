@@ -44,6 +44,18 @@ def write_json_document(df: DataFrame, path: str, overwrite: bool = True) -> Non
     df.write.mode("overwrite" if overwrite else "errorifexists").json(path)
 
 
-def append_alerts(alerts: DataFrame, path: str) -> None:
-    """Append alert rows, in a folder per day so that recent alerts are found without a full scan."""
-    alerts.withColumn("day", F.to_date("timestamp")).write.mode("append").partitionBy("day").parquet(path)
+def write_alerts(alerts: DataFrame, path: str, batch: str) -> None:
+    """Write the alerts of one batch to the store: a folder per day, and in it one per batch.
+
+    Writing a batch again replaces it, so streams and ingest jobs can be replayed.
+    Days come first, so recent alerts are found without a full scan.
+    """
+    (alerts.withColumns({"day": F.to_date("timestamp"), "batch_id": F.lit(batch)})
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch_id").parquet(path))
+
+
+def send_messages(messages: DataFrame, servers: str, topic: str, key: str | None = None) -> None:
+    """Write ``as_messages`` rows to a Kafka topic; needs the Kafka connector of the running Spark version."""
+    value = F.col("value").cast("string").alias("value")
+    rows = messages.select(F.col(key).cast("string").alias("key"), value) if key else messages.select(value)
+    rows.write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).save()

@@ -52,6 +52,6 @@ def decode_json(messages: DataFrame, schema: T.StructType, column: str = "value"
     return messages.select(*keep, data).select(*keep, "data.*")
 
 
-def decode_flows(messages: DataFrame, schema: T.StructType) -> DataFrame:
+def decode_flows(messages: DataFrame, schema: T.StructType, keep: tuple[str, ...] = ()) -> DataFrame:
     """Flow messages as rows: no answer columns, with their event time."""
-    return drop_labels(decode_json(messages, schema)).withColumn("event_time", event_time("stime"))
+    return drop_labels(decode_json(messages, schema, keep=keep)).withColumn("event_time", event_time("stime"))

@@ -7,6 +7,7 @@ shared storage.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from flowlens.operators.alerts import unannounced
 from flowlens.operators.explore import window_counts
+from flowlens.runtime import materialise
 
 WATERMARK = "10 minutes"
 TRIGGER = "5 seconds"
@@ -26,18 +28,12 @@ def windowed_stream_counts(stream: DataFrame, time: str, width: str = "5 minutes
     return window_counts(stream.withWatermark(time, watermark), time, width, by)
 
 
-def without_redelivery(stream: DataFrame, time: str, keys: list[str], watermark: str = WATERMARK,
-                       spread: int = 32) -> DataFrame:
+def without_redelivery(stream: DataFrame, time: str, keys: list[str], watermark: str = WATERMARK) -> DataFrame:
     """First delivery of every message; copies within the watermark are dropped.
 
-    Copies are first dropped per input partition (modulo ``spread``) and then
-    as a whole, so a message delivered over and over does not meet in one task.
+    One state store holds the keys of the last ``watermark``.
     """
-    marked = stream.withWatermark(time, watermark)
-    if spread > 1:
-        marked = (marked.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(spread)))
-                  .dropDuplicatesWithinWatermark([*keys, "_salt"]).drop("_salt"))
-    return marked.dropDuplicatesWithinWatermark(keys)
+    return stream.withWatermark(time, watermark).dropDuplicatesWithinWatermark(keys)
 
 
 def running_category_counts(alerts: DataFrame) -> DataFrame:
@@ -93,10 +89,22 @@ def show(stream: DataFrame, checkpoint: str | None = None) -> StreamingQuery:
 
 def peek(stream: DataFrame, path: str, checkpoint: str, rows: int = 5,
          order: list[Column | str] | None = None) -> DataFrame:
-    """The first few messages of the first batch, for inspection."""
-
-    def first(batch: DataFrame) -> DataFrame:
-        return (batch.orderBy(*order) if order else batch).limit(rows)
-
-    table = drain(stream, path, checkpoint, first)
-    return table.filter(F.col("batch_id") == 0).drop("batch_id")
+    """The first few messages of the first batch that has any; the stream is stopped after it."""
+    seen = threading.Event()
+
+    def first(batch: DataFrame, batch_id: int) -> None:
+        if not seen.is_set():
+            found = materialise((batch.orderBy(*order) if order else batch).limit(rows), "peek")
+            found.write.mode("overwrite").parquet(path)
+            if not found.isEmpty():
+                seen.set()
+
+    query = (stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(first)
+             .trigger(availableNow=True).start())
+    while query.isActive and not seen.wait(0.2):
+        pass
+    if seen.is_set():
+        query.stop()
+    elif query.exception():
+        raise query.exception()
+    return stream.sparkSession.read.schema(stream.schema).parquet(path)

@@ -1,12 +1,14 @@
 """Alert operators on hand-made rows."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from flowlens.functions import columns as fx
 from flowlens.operators import alerts as ops
+from flowlens.schema import alert_schema
 
 DDL = ("id string, attack_cat string, confidence double, threat_score int, status string, resolved_by string,"
        " resolved_at timestamp, source string, timestamp timestamp")
@@ -69,10 +71,35 @@ def test_pages(alerts):
     assert joined == ids(ops.newest_first(alerts))
 
 
-def test_deep_page_equals_shallow_page(alerts, monkeypatch):
-    shallow = ids(ops.alerts_page(alerts, 2, 3))
-    monkeypatch.setattr(ops, "DEEP_PAGE_ROWS", 0)
-    assert ids(ops.alerts_page(alerts, 2, 3)) == shallow == ["4"]
+def test_pages_join_to_the_whole_list(spark):
+    rng = random.Random(3)
+    rows = [(f"{i:04}", None if i % 17 == 0 else dt.datetime(2024, 1, 1) + dt.timedelta(days=rng.randint(0, 3), seconds=rng.randint(0, 4)))
+            for i in range(300)]
+    alerts = spark.createDataFrame(rows, "id string, timestamp timestamp").repartition(5).cache()
+    want = ids(ops.newest_first(alerts))
+    for limit in (7, 100, 299, 1000):
+        assert [i for p in range(1, 300 // limit + 3) for i in ids(ops.alerts_page(alerts, p, limit))] == want
+    last, seen = ops.alerts_page(alerts, 1, 50).collect(), []
+    while last:
+        seen += [r.id for r in last]
+        last = ops.alerts_after(alerts, last[-1].timestamp, last[-1].id, 50).collect() if last[-1].timestamp else []
+    assert seen == want[:len(seen)] and len(seen) >= 280
+
+
+def test_text_times(spark):
+    rows = [("1", "2024-05-01T10:00:00Z"), ("2", " "), ("3", "junk"), ("4", None)]
+    out = ops.normalise_alerts(spark.createDataFrame(rows, "id string, timestamp string"), F.lit(NOON))
+    assert out.schema.simpleString() == alert_schema().simpleString()
+    assert [r.timestamp for r in out.orderBy("id").collect()] == [dt.datetime(2024, 5, 1, 10), NOON, NOON, NOON]
+
+
+def test_equal_records_are_one_alert_and_identity_tells_them_apart(spark):
+    scored = spark.createDataFrame([("a", 0.9, 1), ("a", 0.9, 2), ("b", 0.2, 3)], "srcip string, attack_probability double, place int")
+    both = scored.withColumn("attack_cat", F.lit("DoS"))
+    assert ops.alerts_from_predictions(both.drop("place"), now=F.lit(NOON)).count() == 1
+    found = ops.alerts_from_predictions(both, now=F.lit(NOON), identity=["place"])
+    later = ops.alerts_from_predictions(both, now=F.lit(NOON + dt.timedelta(1)), identity=["place"])
+    assert found.count() == 2 and set(ids(found)) == set(ids(later))
 
 
 def test_page_meta(alerts):
@@ -96,7 +123,7 @@ def test_updates(spark, alerts):
     assert got == {"1": ("pending", "bob"), "2": ("pending", None), "3": ("handled", None), "4": (None, None)}
     assert ids(ops.unmatched_updates(alerts, updates)) == ["9"]
     assert {(r.id, r.reason) for r in ops.check_updates(updates).rejected.collect()} == {
-        ("2", "Invalid status"), ("3", "resolved_by is required")}
+        ("2", "unknown-status"), ("3", "no-resolver")}
 
 
 def test_summary(alerts):
@@ -112,10 +139,10 @@ def test_rollup_fills_zeros(alerts):
 
 
 def test_batch_stats_document(alerts):
-    doc = ops.batch_stats_document(alerts).first()
+    doc = ops.batch_stats_document(alerts, F.lit(NOON)).first()
     assert doc.total_records_processed == 4
     assert [tuple(h) for h in doc.peak_hours] == [("11", 2), ("12", 2)]
     assert sum(b["count"] for b in doc.threat_score_distribution) == 4
-    empty = ops.batch_stats_document(alerts.limit(0)).first()
+    empty = ops.batch_stats_document(alerts.limit(0), F.lit(NOON)).first()
     assert empty.total_records_processed == 0 and len(empty.peak_hours) == 1 and empty.peak_hours[0].attack_count == 0
     assert [tuple(b) for b in empty.threat_score_distribution] == [("[0,40) Low", 0)]

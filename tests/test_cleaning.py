@@ -190,7 +190,7 @@ def test_running_sums(spark):
     assert {r.id: r.upto for r in got} == {i: sum(j % 7 for j in range(i, 500)) for i in range(500)}
 
 
-@pytest.mark.parametrize("block_rows", [10, 100, 25_000])
+@pytest.mark.parametrize("block_rows", [3, 10, 100, 25_000])
 def test_connection_counts_against_brute_force(spark, block_rows):
     rows = [(i, f"s{i * i % 5}" if i % 3 else "hub", f"d{i % 4}", str(i % 3), str(i % 2), "http" if i % 2 else None)
             for i in range(300)]

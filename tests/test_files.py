@@ -29,8 +29,10 @@ def test_inferred_and_named_csv(spark, tmp_path):
     df = readers.read_csv(spark, f"{tmp_path}/a.csv")
     assert dict(df.dtypes) == {"id": "int", "rate": "double"}
     (tmp_path / "b.csv").write_text("1,x\n2,y\n")
-    names = spark.createDataFrame([("id ",), ("kind",)], "Name string")
+    names = spark.createDataFrame([(10, "kind"), (2, "id ")], "`No.` int, Name string")
     assert readers.read_named_csv(spark, f"{tmp_path}/b.csv", names).columns == ["id", "kind"]
+    with pytest.raises(ValueError, match="1 column names for 2 columns"):
+        readers.read_named_csv(spark, f"{tmp_path}/b.csv", names.limit(1))
 
 
 def test_write_modes_and_files(spark, tmp_path):
@@ -88,8 +90,8 @@ def test_alerts_are_stored_by_day(spark, tmp_path):
     import datetime as dt
     df = spark.createDataFrame([("1", dt.datetime(2024, 1, 1)), ("2", dt.datetime(2024, 1, 2))],
                                "id string, timestamp timestamp")
-    for _ in range(2):
-        writers.append_alerts(df, f"{tmp_path}/alerts")
+    for batch in ("a", "b", "b"):  # a batch written again is replaced
+        writers.write_alerts(df, f"{tmp_path}/alerts", batch)
     table = readers.read_table(spark, f"{tmp_path}/alerts")
     assert table.count() == 4 and table.filter("day = date'2024-01-02'").count() == 2
     recent = readers.read_alerts_since(spark, f"{tmp_path}/alerts", F.lit(dt.datetime(2024, 1, 1, 12)))

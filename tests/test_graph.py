@@ -67,6 +67,11 @@ def test_paths(spark, rows_per_split):
     assert {r.id for r in near.collect()} == {"v0", "v1", "v5"}
 
 
+def test_paths_have_no_hop_limit(spark):
+    far = graph.shortest_paths(edges_of(spark, [(f"n{i:02}", f"n{i + 1:02}") for i in range(30)]), "n00")
+    assert {r.id: r.distance for r in far.collect()} == {f"n{i:02}": i for i in range(31)}
+
+
 def test_hub_join_equals_plain_join(spark):
     rows = spark.createDataFrame([("h", i) for i in range(50)] + [("x", 1), ("none", 2)], "k string, v int")
     table = spark.createDataFrame([("h", 50, "hot"), ("x", 1, "cold"), ("unused", 7, "")], "k string, n long, t string")

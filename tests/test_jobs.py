@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 from flowlens import jobs
 from flowlens.detection.detector import load_detector
 from flowlens.plans.flow_queries import _in_layout
-from flowlens.sources.readers import read_metrics, read_table
+from flowlens.operators.alerts import alerts_page
+from flowlens.schema import alert_schema
+from flowlens.sources.readers import read_alerts_since, read_metrics, read_table
 from flowlens.sources.writers import as_messages
 from flowlens.streaming.ingest import text_stream
 
@@ -29,11 +31,27 @@ def test_prepare_train_watch(spark, sf, tmp_path):
     assert spark.read.json(f"{model}/classes").count() == 2
 
     topic, alerts = f"{tmp_path}/topic", f"{tmp_path}/alerts"
-    as_messages(flows).write.text(topic)
+    messages = as_messages(flows).distinct()
+    messages.write.text(topic)
+    messages.limit(200).write.mode("append").text(topic)  # delivered again
+    spark.createDataFrame([("broken",), ("",), ("{\"sbytes\":",)], "value string").write.mode("append").text(topic)
     detector, profile = load_detector(f"{model}/pipeline"), jobs.read_profile(spark, out)
-    jobs.watch(text_stream(spark, topic), detector, profile, alerts, f"{tmp_path}/cp", drain=True).awaitTermination()
+    stream = text_stream(spark, topic, max_files_per_trigger=3)
+    jobs.watch(stream, detector, profile, alerts, f"{tmp_path}/cp", drain=True).awaitTermination()
     found = spark.read.parquet(alerts)
-    wanted = flows.filter("sbytes > 25").count()
-    assert abs(found.count() - wanted) < 0.05 * wanted
+    told = messages.withColumn(jobs.MESSAGE, F.sha2("value", 256))
+    _, wanted = jobs.alerts_by_message(told, detector, profile, F.lit("2024-01-01").cast("timestamp"))
+    same = ["id", "srcip", "attack_cat", "confidence", "threat_score"]
+    assert found.count() == wanted.count() > 0
+    assert sorted(wanted.select(same).collect()) == sorted(found.select(same).collect())
     assert {r.attack_cat for r in found.select("attack_cat").distinct().collect()} == {"DoS"}
     assert found.filter("source <> 'streaming' or threat_score < 50 or timestamp is null").isEmpty()
+    assert {r.value for r in spark.read.parquet(f"{alerts}_rejects").collect()} >= {"broken", "{\"sbytes\":"}
+    counts = spark.read.parquet(f"{alerts}_counts").agg(F.sum("total_records"), F.sum("attacks_detected")).first()
+    assert tuple(counts) == (messages.count(), found.count())
+    # what the stream wrote is what the readers read
+    since = found.agg(F.max("timestamp")).first()[0]
+    recent = read_alerts_since(spark, alerts, F.lit(since))
+    assert recent.count() == found.filter(F.col("timestamp") == F.lit(since)).count() > 0
+    assert [f.name for f in alert_schema().fields] == recent.columns
+    assert len(alerts_page(recent, 1, 5).collect()) == min(5, recent.count())
