@@ -17,12 +17,15 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from flowlens.detection.detector import Detector, boosted_stages, fit_two_stage, forest_stages, load_detector
 from flowlens.detection.report import evaluate_detector
+from flowlens.functions.columns import is_attack
 from flowlens.operators.alerts import alerts_from_predictions, detection_counts
 from flowlens.operators.clean import clean_flows
+from flowlens.operators.encode import category_codes
+from flowlens.operators.evaluate import metrics_document
 from flowlens.operators.profile import PROFILE_KEYS, TrafficProfile, enrich, fit_profile
 from flowlens.operators.split import chronological_split, split_counts
 from flowlens.runtime import get_spark, materialise
-from flowlens.schema import flow_schema
+from flowlens.schema import CATEGORICAL_FEATURES, flow_schema
 from flowlens.sources.readers import read_flows, read_table
 from flowlens.sources.writers import write_alerts, write_json_document, write_table
 from flowlens.streaming import jobs as streams
@@ -60,7 +63,15 @@ def train_detector(spark: SparkSession, data: str, model: str, kind: str = "fore
     detector = fit_two_stage(train, stages, cap_per_class=cap_per_class)
     detector.save(f"{model}/pipeline")
     report = evaluate_detector(detector, train, test)
-    write_json_document(report.test, f"{model}/metrics")
+    scored = detector.score(test).withColumn("is_attack", is_attack("attack_cat"))
+    write_json_document(metrics_document(
+        scored, detector.classes, "attack_cat", "predicted_class", stage1="predicted_attack", stage2="stage2_class",
+        score="attack_probability"), f"{model}/metrics")
+    for name, part in (("test_figures", report.test), ("train_figures", report.train), ("verdict", report.verdict),
+                       ("confusion", report.confusion), ("confused_pairs", report.confused_pairs), ("importances", report.importances),
+                       ("category_codes", category_codes(train, CATEGORICAL_FEATURES))):
+        if part is not None:
+            write_json_document(part, f"{model}/{name}")
     write_json_document(report.per_class, f"{model}/class_report")
     write_json_document(detector.class_table(spark), f"{model}/classes")
     write_json_document(detector.feature_table(spark), f"{model}/features")

@@ -291,7 +291,8 @@ def _(spark, sf):
     return undersample(named_flows(spark, sf), "attack_cat").groupBy("attack_cat").agg(F.count("*").alias("n"))
 
 
-@REG.add("sample_rows")
+@REG.add("sample_rows", PACKETS + """
+ SELECT srcip, dstip, stcpb FROM packets WHERE md5(concat_ws('|', srcip, dstip, CAST(stcpb AS VARCHAR))) < '19999999'""")
 def _(spark, sf):
     return sample_by_hash(packets(spark, sf), ["srcip", "dstip", "stcpb"]).select("srcip", "dstip", "stcpb")
 

@@ -54,7 +54,18 @@ def scratch_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the scratch folder."""
-    return f"{scratch_dir(spark)}/flowlens/{name}-{uuid.uuid4().hex}"
+    return f"{scratch_home(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def scratch_home(spark: SparkSession) -> str:
+    """Where all intermediate tables of this application lie."""
+    return f"{scratch_dir(spark)}/flowlens/{spark.sparkContext.applicationId}"
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete all intermediate tables of this application; results that still read them are lost."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_home(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

@@ -27,7 +27,11 @@ def test_prepare_train_watch(spark, sf, tmp_path):
 
     verdict = jobs.train_detector(spark, out, model, trees1=5, trees2=5).first()
     assert verdict.verdict == "OK" and verdict.test_accuracy > 0.95
-    assert read_metrics(spark, f"{model}/metrics").first().stage1.accuracy == verdict.test_accuracy
+    figures = read_metrics(spark, f"{model}/metrics").first()
+    assert figures.overall.accuracy == verdict.test_accuracy
+    assert min(figures.stage1.accuracy, figures.stage1.auc_roc, figures.stage2.accuracy, figures.overall.macro_f1) > 0
+    assert spark.read.json(f"{model}/confusion").count() >= 2 and spark.read.json(f"{model}/importances").count() > 0
+    assert set(r["column"] for r in spark.read.json(f"{model}/category_codes").collect()) <= {"proto", "state", "service"}
     assert spark.read.json(f"{model}/classes").count() == 2
 
     topic, alerts = f"{tmp_path}/topic", f"{tmp_path}/alerts"
