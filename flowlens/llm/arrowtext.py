@@ -17,6 +17,8 @@ import pyarrow.compute as pc
 SEPARATOR = np.zeros(256, bool)
 SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
 
+GROW = 1 << 18
+
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
@@ -47,7 +49,7 @@ class Roller:
 
     def _powers(self, n: int) -> None:
         if len(self._up) < n:
-            size = max(n, 2 * len(self._up))
+            size = -(-n // GROW) * GROW  # kept for the next batch, so not much larger than needed
             for name, factor in (("_up", self.base), ("_down", self.inverse)):
                 line = np.full(size, factor, np.uint64)
                 line[0] = 1
