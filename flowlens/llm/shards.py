@@ -33,13 +33,14 @@ def expand(blob: bytes) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
 
 
-def make_shards(docs: DataFrame) -> DataFrame:
-    """The written shards of (doc_id, text)."""
+def make_shards(docs: DataFrame, size: int | None = None) -> DataFrame:
+    """The written shards of (doc_id, text), with about ``size`` bytes of text each."""
+    size = size or SHARD_BYTES
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = (TaskContext.get().partitionId()) << 32
         for batch in batches:
-            for part, texts in parts_of(batch, 1, SHARD_BYTES):
+            for part, texts in parts_of(batch, 1, size):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([number]), pa.array([part.column(0).to_pylist()], pa.list_(pa.int64())),
                      pa.array([texts.offsets], pa.list_(pa.int64())), pa.array([squeeze(texts.data)], pa.binary())],

@@ -33,7 +33,8 @@ from flowlens.llm.arrowtext import Texts, roller, whole_windows
 from flowlens.llm.shards import answers, expand, make_shards, rows_of, slices, squeeze, store, texts_in, unpack
 from flowlens.runtime import materialise
 
-UNIT_BYTES = 6 << 20  # segment text in a unit, about
+SHARD_BYTES = 2 << 20  # text in a document shard; every byte of it is a window, so shards are smaller than for words
+UNIT_BYTES = 3 << 20  # segment text in a unit, about
 ANCHOR = 36
 LONGEST = 256  # windows in a segment
 BUCKET_BYTES = 64 << 20  # text whose anchors share a bucket
@@ -161,31 +162,32 @@ def split_segments(shards: DataFrame, flags: DataFrame, length: int, n_buckets:
     return store(shards.join(answers(flags), "shard", "left").mapInArrow(work, SPLIT), "segments", "kind")
 
 
-def suffix_array(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The suffixes of ``data`` in order, and the packed eight bytes at every place.
+def suffix_array(data: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The suffixes of ``data`` in the order of their first bytes, at least ``depth`` of them.
 
-    The order has to be complete: Kasai's rule does not hold where ties are left.
+    Also the packed eight bytes at every place, and for every suffix of the order whether those first bytes differ
+    from the ones of the suffix before it.
     """
     n = len(data)
     padded = np.concatenate([data, np.zeros(8, np.uint8)])
     eight = np.zeros(n, np.uint64)
     for k in range(8):
         eight = (eight << np.uint64(8)) | padded[k: k + n]
-    order = np.argsort(eight, kind="stable")
+    order = np.argsort(eight)
     head = np.ones(n, bool)
     head[1:] = eight[order[1:]] != eight[order[:-1]]
     rank = np.empty(n + 1, np.int64)
     rank[n] = -1
     rank[order] = np.maximum.accumulate(np.where(head, np.arange(n), 0))
     h = 8
-    while True:
+    while h < depth:
         single = head & np.append(head[1:], True)
         at = np.flatnonzero(~single)  # only groups that are not yet single
         if not len(at):
             break
         own = order[at]
         group, beyond = rank[own], rank[np.minimum(own + h, n)] + 1
-        again = np.argsort((group.astype(np.uint64) << np.uint64(32)) | beyond.astype(np.uint64), kind="stable")
+        again = np.argsort((group.astype(np.uint64) << np.uint64(32)) | beyond.astype(np.uint64))
         own, group, beyond = own[again], group[again], beyond[again]
         order[at] = own
         fresh = np.ones(len(at), bool)
@@ -193,27 +195,32 @@ def suffix_array(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         head[at] = fresh
         rank[own] = np.maximum.accumulate(np.where(fresh, at, 0))
         h *= 2
-    return order, eight
+    return order, eight, head
 
 
-def common_prefixes(data: np.ndarray, order: np.ndarray, eight: np.ndarray, begin: np.ndarray, wide: np.ndarray, most: int) -> np.ndarray:
+def common_prefixes(data: np.ndarray, order: np.ndarray, eight: np.ndarray, head: np.ndarray, begin: np.ndarray, wide: np.ndarray, most: int) -> np.ndarray:
     """Of every place: the bytes shared with the suffix before it in ``order``, up to ``most``.
 
-    Kasai: moving one byte on loses at most one shared byte.  All segments move together, one byte a step.
+    Kasai: moving one byte on loses at most one shared byte.  All segments move together, one byte a step.  A
+    suffix that is still tied with the one before it shares ``most`` without a look.  Kasai's rule holds behind a
+    suffix that is not tied, because its order was decided within the sorted bytes; behind a tied one counting starts anew.
     """
     n = len(data)
     before = np.full(n, -1, np.int64)
     before[order[1:]] = order[:-1]
     padded = np.concatenate([data, np.zeros(most + 8, np.uint8)])
     shared = np.zeros(n, np.int64)
+    tied = np.empty(n, bool)
+    tied[order] = ~head
     by_width = np.argsort(-wide, kind="stable")
     begin, wide = begin[by_width], wide[by_width]
-    now = np.zeros(len(begin), np.int64)
+    now = np.zeros(len(begin), np.int64)  # shared by the place before, none if that one was tied
     for step in range(int(wide[0]) if len(wide) else 0):
         lanes = int(np.searchsorted(-wide, -step, "left"))  # segments longer than step
         i = begin[:lanes] + step
         j = before[i]
-        h = np.where(j >= 0, np.maximum(now[:lanes] - 1, 0), 0)
+        alike = tied[i]
+        h = np.where(alike, most, np.where(j >= 0, np.maximum(now[:lanes] - 1, 0), 0))
         for jump, words in ((8, eight), (1, data)):
             go = np.flatnonzero((j >= 0) & (h < most))
             while len(go):
@@ -224,14 +231,14 @@ def common_prefixes(data: np.ndarray, order: np.ndarray, eight: np.ndarray, begi
                 h[go] += jump
                 go = go[h[go] < most]
         shared[i] = h
-        now[:lanes] = h
+        now[:lanes] = np.where(alike, 0, h)
     return shared
 
 
 def later_windows(data: np.ndarray, begin: np.ndarray, count: np.ndarray, length: int) -> np.ndarray:
     """Which windows (``count`` from each segment's begin; segments in order of age) also start earlier."""
-    order, eight = suffix_array(data)
-    shared = common_prefixes(data, order, eight, begin, count + length - 1, length)
+    order, eight, head = suffix_array(data, length)
+    shared = common_prefixes(data, order, eight, head, begin, count + length - 1, length)
     group = np.cumsum(shared[order] < length)  # suffixes that share ``length`` bytes stand together
     start = np.repeat(begin - np.cumsum(count) + count, count) + np.arange(count.sum())
     group_at = np.empty(len(data), np.int64)
@@ -324,7 +331,7 @@ def remove_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and ``removed``, the byte ranges that go: a row per row of ``docs``."""
     if length <= ANCHOR:
         raise ValueError(f"length must be above {ANCHOR}")
-    shards = make_shards(docs)
+    shards = make_shards(docs, SHARD_BYTES)
     size = int(shards.agg(F.sum(F.element_at("offsets", -1))).first()[0] or 0)
     n_buckets, n_units = 1 + size // BUCKET_BYTES, 1 + size // UNIT_BYTES
     met = materialise(ask_anchors(shards, length, n_buckets).groupBy("bucket").applyInArrow(_meet_anchors, "shard long, bucket int, bits binary"), "met")

@@ -6,7 +6,6 @@ import random
 import numpy as np
 import pytest
 
-from flowlens.llm import shards
 from flowlens.llm import suffixdedup as s
 from flowlens.llm.queries import LLM
 
@@ -57,7 +56,7 @@ def planted(seed):
 
 @pytest.mark.parametrize(("shard", "unit", "bucket", "length"), [(4 << 20, 6 << 20, 64 << 20, 100), (900, 1500, 2000, 100), (3000, 700, 10**6, 37), (500, 400, 500, 64)])
 def test_planted(spark, monkeypatch, shard, unit, bucket, length):
-    monkeypatch.setattr(shards, "SHARD_BYTES", shard)
+    monkeypatch.setattr(s, "SHARD_BYTES", shard)
     monkeypatch.setattr(s, "UNIT_BYTES", unit)
     monkeypatch.setattr(s, "BUCKET_BYTES", bucket)
     rows = planted(length)
@@ -80,12 +79,15 @@ def test_suffix_array_and_prefixes():
     data = rng.integers(97, 100, 3000).astype(np.uint8)
     data[1000:1400] = data[:400]
     data[2000:2200] = 97
-    order, eight = s.suffix_array(data)
+    order, eight, head = s.suffix_array(data, 10_000)
     raw = data.tobytes()
     want = sorted(range(len(raw)), key=lambda i: raw[i:])
     assert order.tolist() == want
     begin = np.arange(0, 3000, 250)
-    shared = s.common_prefixes(data, order, eight, begin, np.full(len(begin), 250), 100)
+    shared = s.common_prefixes(data, order, eight, head, begin, np.full(len(begin), 250), 100)
+    part, _, ties = s.suffix_array(data, 100)
+    short = s.common_prefixes(data, part, eight, ties, begin, np.full(len(begin), 250), 100)
+    assert np.array_equal(np.cumsum(short[part] < 100)[np.argsort(part)], np.cumsum(shared[order] < 100)[np.argsort(order)])
     for a, b in zip(want, want[1:]):
         k = 0
         while k < 100 and max(a, b) + k < len(raw) and raw[a + k] == raw[b + k]:
