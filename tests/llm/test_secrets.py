@@ -72,3 +72,25 @@ def test_network_adds_and_prose_stays_clean(spark, sf):
     assert s.scan(text, s.train())[1] == [(11, 3, 35)]
     spans = s.scan_secrets(spark.read.parquet(f"{sf}/documents.parquet")).filter(F.col("spans").contains("model:")).count()
     assert spans <= 2
+
+
+KEY = "ghp_" + "aB3dE5fG7hJ9kL2mN4pQ6rS8tU1vW3xY5zA7"
+
+
+def test_key_far_inside_a_long_candidate():
+    w = s.train()
+    for before in ("example/v2/projects/customers/invoices/archive/reports/2024/", "region=north=branch=main=project=customers=archive=reports=",
+                   "/".join(["customers", "reports"] * 20) + "/"):
+        text = f"see {before}{KEY} for more"
+        assert (4, 3, 4 + len(before + KEY)) in s.scan(text, w)[1]
+        assert KEY not in s.redact(text, s.scan(text, w)[1], "<secret>")
+        assert s.scan(f"see {before}more for more", w)[1] == []
+
+
+def test_windows_cover_a_candidate_and_reach_behind_it():
+    for size in (16, 55, 56, 57, 83, 84, 85, 400):
+        places = list(s.places(3, 3 + size))
+        assert places[0] == 3 and places[-1] + s.WIDTH - s.BEFORE >= 3 + size
+        assert all(b - a == s.STEP for a, b in zip(places, places[1:]))
+    behind = [s.encode("ab " + "x" * 16 + t, 3, 19) for t in (" one", " two")]
+    assert (behind[0] != behind[1]).any() and (behind[0][s.BEFORE: s.BEFORE + 16] >= s.CLASSES).all() and (behind[0][s.BEFORE + 16:] < s.CLASSES).all()
