@@ -1,7 +1,7 @@
 """Secret scans: fixed base patterns, then a character convolutional network over further candidates.
 
 Base findings are the contract's three kinds and are never dropped.  Every token of ``CANDIDATE`` (16 or more key
-characters) with letters and digits that no base finding touches is a candidate.  The network reads it in overlapping windows of
+characters) that is not wholly inside base findings is a candidate.  The network reads it in overlapping windows of
 ``WIDTH`` characters, the last one reaching into the text behind it, and the highest probability decides; characters
 of the candidate and characters around it are different inputs.  The network is numpy: character embedding, one
 convolution, maximum over the positions, a hidden layer, a logistic output.  It is trained on windows of texts that
@@ -19,7 +19,7 @@ rows are scanned each; other columns are passed through.
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -59,7 +59,7 @@ def base_findings(text: str) -> list[tuple[int, int, int]]:
 
 
 def other_candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
-    """Candidate spans with letters and digits that no base finding touches."""
+    """Candidate spans that reach beyond the base findings."""
     out, starts, ends = [], [], []
     for s, _, e in base:  # joined where they overlap or touch, so that bisection finds the only one that may hold a span
         if ends and s <= ends[-1]:
@@ -69,8 +69,8 @@ def other_candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[
             ends.append(e)
     for m in CANDIDATE.finditer(text):
         s, e = m.span()
-        k = bisect_left(starts, e) - 1
-        if (k < 0 or ends[k] <= s) and re.search("[0-9]", m.group()) and re.search("[A-Za-z]", m.group()):
+        k = bisect_right(starts, s) - 1
+        if k < 0 or ends[k] < e:
             out.append((s, e))
     return out
 

@@ -94,3 +94,22 @@ def test_windows_cover_a_candidate_and_reach_behind_it():
         assert all(b - a == s.STEP for a, b in zip(places, places[1:]))
     behind = [s.encode("ab " + "x" * 16 + t, 3, 19) for t in (" one", " two")]
     assert (behind[0] != behind[1]).any() and (behind[0][s.BEFORE: s.BEFORE + 16] >= s.CLASSES).all() and (behind[0][s.BEFORE + 16:] < s.CLASSES).all()
+
+
+def test_candidates_without_digits_and_around_base_findings():
+    w = s.train()
+    for key in ("qWzXkVbNmPtRsLfG", "QzXkVwNmPtRsLfGhJdKcBvYq"):
+        assert (4, 3, 4 + len(key)) in s.scan(f"key {key} end", w)[1]
+    run = "0123456789abcdef01234567"
+    key = "Z9Zt0LmV4xR2sKpQ" + run + "ZkQpWvXy3RtLm8"
+    base, found = s.scan(f"use {key} for", w)
+    assert base == [(20, 2, 20 + len(run))] and set(base) < set(found)
+    assert s.redact(f"use {key} for", found, "#") == "use # for"
+    assert s.other_candidates("password=abcdefgh1", s.base_findings("password=abcdefgh1")) == []
+
+
+def test_recall_through_scan():
+    w = s.train()
+    rows, y = s.labelled_texts(2000, 4321)
+    hit = np.array([any(a <= start and end <= b for a, _, b in s.scan(text, w)[1]) for text, start, end in rows])
+    assert hit[y == 1].mean() >= 0.97 and hit[y == 0].mean() <= 0.1
