@@ -2,17 +2,19 @@
 
 Words become tokens: edge punctuation goes, ASCII letters are lower-cased.  A token that begins with a digit, or is a number word, is
 the slot <number>; a unit after a number is <unit>; a run of capitalised words inside a sentence is one <name>.
-Windows of ``width`` tokens are hashed with slots in place of their values and joined with the windows of the
-benchmark, so a question with other numbers or names still meets its original.  Each meeting is then checked: over all
-positions that the windows of one alignment cover, equal slot values of the item must face equal values of
-the document, and different ones different ones.  An item is found in a document if consistent
-alignments cover ``coverage`` of its tokens; it is verbatim if every slot value is the same.
+Windows of ``width`` tokens are hashed and joined with the windows of the benchmark under two readings: the words
+themselves, so that verbatim windows meet whatever they hold; and templates, with slots in place of their values, so
+that a question with other numbers or names still meets its original.  A template window needs a share of ``min_literals`` words that are no slots.
+Meetings of templates are then checked: over all positions that the windows of one alignment cover, equal slot values of the item must
+face equal values of the document, and different ones different ones; else the alignment is dropped, with the
+verbatim windows that hold one of its slots.  An item is found in a document if the
+other windows cover ``coverage`` of its words; it is verbatim if every slot value is the same.
 
 The benchmark is the stated query set.  It is taken in blocks of about ``BLOCK_BYTES`` of item text, spread by hash;
 one block's index is broadcast at a time, and every document passes every block.  No shuffle of documents.
 
-Edge cases: an item with fewer tokens than ``width`` is one window of all its tokens; below ``min_tokens`` tokens, or with too
-few words that are no slots, a window says nothing and is not used; null and empty texts hold nothing; repeated
+Edge cases: an item with fewer tokens than ``width`` is one window of all its tokens; below ``min_tokens`` tokens, or with
+numbers only, a window says nothing and is not used; null and empty texts hold nothing; repeated
 rows are judged each; empty tables on either side give no hits; other columns pass through, ``hits`` is replaced.
 """
 
@@ -59,11 +61,22 @@ class Rule:
 
 
 @dataclass
-class Tokens:
+class Reading:
     template: np.ndarray  # hash of the word, or of the slot kind
     value: np.ndarray  # hash of what stood there
-    literal: np.ndarray
+    kind: np.ndarray
+    word: np.ndarray  # number of the first word of each token, one more entry than tokens
     first: np.ndarray  # per text, one more entry than texts
+    least: float  # share of a window's tokens that must be no slots; 0 for one token
+
+    def items(self, places: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.first, places, "right") - 1
+
+
+@dataclass
+class Tokens:
+    words: np.ndarray  # per text, number of its first word, one more entry than texts
+    readings: list[Reading]  # the words themselves, then templates
 
 
 def _hashes(words: list[str]) -> np.ndarray:
@@ -85,78 +98,84 @@ def _among(values: np.ndarray, listed: np.ndarray) -> np.ndarray:
     return listed[np.minimum(np.searchsorted(listed, values), len(listed) - 1)] == values
 
 
-def canonical(texts: Texts) -> Tokens:
-    words = words_of(texts)
+def _template(value: np.ndarray, kind: np.ndarray, owner: np.ndarray, n: int, rule: Rule) -> Reading:
+    """Tokens with slots; a run of name words is one token."""
+    kind = kind.copy()
+    after = np.zeros(len(kind), bool)
+    after[1:] = (kind[:-1] == NUMBER) & (owner[1:] == owner[:-1])
+    kind[after & (kind == LITERAL) & _among(value, _known("units", UNITS))] = UNIT
+    joins = np.zeros(len(kind), bool)  # a further word of a name
+    joins[1:] = (kind[1:] == NAME) & (kind[:-1] == NAME) & (owner[1:] == owner[:-1])
+    keep = np.flatnonzero(~joins)
+    word = np.append(keep, len(value))
+    value = roller(22).spans(value, keep, word[1:])
+    kind, owner = kind[keep], owner[keep]
+    return Reading(np.where(kind == LITERAL, value, SLOT[kind]), value, kind, word, np.searchsorted(owner, np.arange(n + 1)), rule.min_literals)
+
+
+def canonical(texts: Texts, rule: Rule = Rule()) -> Tokens:
+    words, data = words_of(texts), texts.data
     owner = np.repeat(np.arange(len(texts)), words.counts())
     if not len(owner):
-        empty = np.empty(0, np.uint64)
-        return Tokens(empty, empty, np.empty(0, bool), np.zeros(len(texts) + 1, np.int64))
-    solid = np.flatnonzero(~PUNCTUATION[texts.data])
+        return Tokens(np.zeros(len(texts) + 1, np.int64), [])
+    solid = np.flatnonzero(~PUNCTUATION[data])
     if not len(solid):
-        solid = np.array([len(texts.data)])
+        solid = np.array([len(data)])
     start = solid[np.minimum(np.searchsorted(solid, words.start), len(solid) - 1)]
     end = solid[np.maximum(np.searchsorted(solid, words.end) - 1, 0)] + 1
     real = (start >= words.start) & (start < words.end)
-    stops = STOP[texts.data[words.end - 1]]
+    stops = STOP[data[words.end - 1]]
     opens = np.ones(len(owner), bool)  # first word of a text or sentence
     opens[1:] = stops[:-1] | (owner[1:] != owner[:-1])
     start, end, owner, opens = start[real], end[real], owner[real], opens[real]
-    value = roller(21).spans(roller(21).letters[LOWER[texts.data]], start, end)
-    head = texts.data[start] if len(start) else np.empty(0, np.uint8)
-    kind = np.where(DIGIT[head] | _among(value, _known("numbers", NUMBER_WORDS)), NUMBER, LITERAL)
-    kind[UPPER[head] & ~opens & (kind == LITERAL)] = NAME
-    after = np.zeros(len(kind), bool)
-    after[1:] = (kind[:-1] == NUMBER) & (owner[1:] == owner[:-1])
-    kind[after & (kind == LITERAL) & _among(value, _known("units", UNITS))] = UNIT
-    joins = np.zeros(len(kind), bool)  # a further word of a name
-    joins[1:] = (kind[1:] == NAME) & (kind[:-1] == NAME) & (owner[1:] == owner[:-1])
-    keep = np.flatnonzero(~joins)
-    if joins.any():
-        value = roller(22).spans(value, keep, np.append(keep[1:], len(value)))
-    else:
-        value = roller(22).spans(value, keep, keep + 1)
-    kind, owner = kind[keep], owner[keep]
-    template = np.where(kind == LITERAL, value, SLOT[kind])
-    return Tokens(template, value, kind == LITERAL, np.searchsorted(owner, np.arange(len(texts) + 1)))
+    value = roller(21).spans(roller(21).letters[LOWER[data]], start, end)
+    head = data[start] if len(start) else np.empty(0, np.uint8)
+    number = DIGIT[head] | _among(value, _known("numbers", NUMBER_WORDS))
+    first = np.searchsorted(owner, np.arange(len(texts) + 1))
+    plain = Reading(value, value, np.where(number, NUMBER, LITERAL), np.arange(len(value) + 1), first, 0)
+    inside = np.where(number, NUMBER, np.where(UPPER[head] & ~opens, NAME, LITERAL))
+    return Tokens(first, [plain, *[_template(value, kind, owner, len(texts), rule) for kind in (inside,)]])
 
 
-def _windows(tokens: Tokens, width: int, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
+def _windows(tokens: Reading, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Positions and hashes of the windows that lie inside a text and hold enough literal words."""
     n = len(tokens.template)
     if n < width:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
-    literals = np.concatenate([[0], np.cumsum(tokens.literal)])
+    literals = np.concatenate([[0], np.cumsum(tokens.kind == LITERAL)])
     ends = np.repeat(tokens.first[1:], np.diff(tokens.first))
     at = np.arange(n - width + 1)
-    good = at[(at + width <= ends[: len(at)]) & (literals[width:] - literals[: len(at)] >= rule.min_literals * width)]
+    good = at[(at + width <= ends[: len(at)]) & (literals[width:] - literals[: len(at)] >= max(tokens.least * width, 1))]
     return good, roller(23).windows(tokens.template, width)[good]
 
 
 @dataclass
 class Index:
-    """The windows of a block of items: per width, sorted hashes with item and place."""
+    """The windows of a block of items: per reading and width, sorted hashes with item and place."""
 
     tokens: Tokens
-    by_width: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]
+    by_width: list[dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]]
 
 
 def build_index(texts: list[str | None], rule: Rule) -> Index:
-    tokens = canonical(texts_of(pa.array(texts, pa.large_string())))
-    sizes = np.diff(tokens.first)
-    by_width = {}
-    for width in range(rule.min_tokens, rule.width + 1):
-        at, found = _windows(tokens, width, rule)
-        item = np.searchsorted(tokens.first, at, "right") - 1
-        own = sizes[item] == width if width < rule.width else np.ones(len(at), bool)
-        if own.any():
-            order = np.argsort(found[own], kind="stable")
-            by_width[width] = (found[own][order], item[own][order], (at - tokens.first[item])[own][order])
-    return Index(tokens, by_width)
-
-
-def _meetings(tokens: Tokens, index: Index, rule: Rule) -> Iterator[tuple[np.ndarray, ...]]:
-    for width, (keys, items, places) in index.by_width.items():
-        at, found = _windows(tokens, width, rule)
+    tokens = canonical(texts_of(pa.array(texts, pa.large_string())), rule)
+    found_by = []
+    for reading in tokens.readings:
+        sizes, by_width = np.diff(reading.first), {}
+        for width in range(rule.min_tokens, rule.width + 1):
+            at, found = _windows(reading, width)
+            item = reading.items(at)
+            own = sizes[item] == width if width < rule.width else np.ones(len(at), bool)
+            if own.any():
+                order = np.argsort(found[own], kind="stable")
+                by_width[width] = (found[own][order], item[own][order], (at - reading.first[item])[own][order])
+        found_by.append(by_width)
+    return Index(tokens, found_by)
+
+
+def _meetings(reading: Reading, by_width: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, ...]]:
+    for width, (keys, items, places) in by_width.items():
+        at, found = _windows(reading, width)
         low = np.searchsorted(keys, found)
         hit = np.flatnonzero(keys[np.minimum(low, len(keys) - 1)] == found)
         low = low[hit]
@@ -165,39 +184,58 @@ def _meetings(tokens: Tokens, index: Index, rule: Rule) -> Iterator[tuple[np.nda
         yield np.repeat(at[hit], many), items[entry], places[entry], np.full(len(entry), width)
 
 
-def _consistent(mine: np.ndarray, theirs: np.ndarray) -> bool:
-    """Equal values face equal ones, different values different ones."""
+def _conflicts(mine: np.ndarray, theirs: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """All slots, unless equal values face equal ones and different values different ones."""
     pairs = len({*zip(mine.tolist(), theirs.tolist())})
-    return pairs == len(set(mine.tolist())) == len(set(theirs.tolist()))
+    return np.full(len(mine), not pairs == len(set(mine.tolist())) == len(set(theirs.tolist())))
 
 
-def find_items(texts: Texts, index: Index, rule: Rule) -> dict[int, list[tuple[int, float, bool]]]:
-    """text -> (item, coverage, verbatim) of every item found in it."""
-    tokens = canonical(texts)
-    rows = list(_meetings(tokens, index, rule))
+def _alignments(tokens: Reading, theirs: Reading, by_width: dict) -> Iterator[tuple[int, int, int, np.ndarray, np.ndarray]]:
+    """text, item, shift, and the places and widths of the item's windows that lie at that shift."""
+    rows = list(_meetings(tokens, by_width))
     if not rows:
-        return {}
+        return
     at, item, place, width = map(np.concatenate, zip(*rows))
     if not len(at):
-        return {}
-    text = np.searchsorted(tokens.first, at, "right") - 1
+        return
+    text = tokens.items(at)
     shift = at - place  # equal for the windows of one alignment
     order = np.lexsort((place, shift, item, text))
-    at, item, place, width, text, shift = (x[order] for x in (at, item, place, width, text, shift))
+    item, place, width, text, shift = (x[order] for x in (item, place, width, text, shift))
     new = np.flatnonzero(np.concatenate([[True], (np.diff(text) != 0) | (np.diff(item) != 0) | (np.diff(shift) != 0)]))
+    for a, b in zip(new, np.append(new[1:], len(text))):
+        yield int(text[a]), int(item[a]), int(shift[a]), place[a:b], width[a:b]
+
+
+def find_items(texts: Texts, index: Index, rule: Rule) -> dict[int, list[tuple[int, float, bool]]]:
+    """text -> (item, coverage, verbatim) of every item found in it."""
+    tokens = canonical(texts, rule)
     covered: dict[tuple[int, int], set[int]] = {}
     changed: set[tuple[int, int]] = set()
-    for a, b in zip(new, np.append(new[1:], len(at))):
-        places = np.unique(np.concatenate([np.arange(p, p + w) for p, w in zip(place[a:b], width[a:b])]))
-        there, here = index.tokens.first[item[a]] + places, shift[a] + places
-        slots = ~index.tokens.literal[there]
-        mine, theirs = index.tokens.value[there][slots], tokens.value[here][slots]
-        if _consistent(mine, theirs):
-            key = (int(text[a]), int(item[a]))
-            covered.setdefault(key, set()).update(places.tolist())
-            if (mine != theirs).any():
+    clashes: dict[tuple[int, int], dict[int, list[int]]] = {}  # by distance of the words, of names inside sentences and numbers
+
+    for k in (1, 0) if tokens.readings and index.tokens.readings else ():
+        here, there = tokens.readings[k], index.tokens.readings[k]
+        for text, item, shift, place, width in _alignments(here, there, index.by_width[k]):
+            key, base = (text, item), int(there.first[item])
+            if k:
+                places = np.unique(np.concatenate([np.arange(p, p + w) for p, w in zip(place, width)]))
+                places = places[there.kind[base + places] != LITERAL]
+                mine, theirs = there.value[base + places], here.value[shift + places]
+                clash = _conflicts(mine, theirs, there.kind[base + places] == NUMBER)
+                bad, other = places[clash], places[mine != theirs]
+                if k == 1:
+                    for x, y in zip(there.word[base + bad].tolist(), here.word[shift + bad].tolist()):
+                        clashes.setdefault(key, {}).setdefault(y - x, []).append(x)
+            else:
+                bad = np.sort(np.array(clashes.get(key, {}).get(shift - base, []), np.int64)) - base
+                other = bad[:0]
+            good = np.full(len(place), not len(bad)) if k else np.searchsorted(bad, place) == np.searchsorted(bad, place + width)
+            for p, w in zip(place[good], width[good]):
+                covered.setdefault(key, set()).update(range(int(there.word[base + p]), int(there.word[base + p + w])))
+            if (np.searchsorted(other, place[good]) < np.searchsorted(other, (place + width)[good])).any():
                 changed.add(key)
-    sizes, out = np.diff(index.tokens.first), {}
+    sizes, out = np.diff(index.tokens.words), {}
     for (t, i), places in sorted(covered.items()):
         if len(places) >= rule.coverage * sizes[i]:
             out.setdefault(t, []).append((i, len(places) / float(sizes[i]), (t, i) not in changed))

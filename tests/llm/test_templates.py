@@ -68,3 +68,12 @@ def test_blocks_and_edge_rows(spark, monkeypatch):
     assert out.count() == 15
     assert t.find_contamination(out.limit(0), items).count() == 0
     assert t.find_contamination(out, items.limit(0)).filter("size(hits) > 0").count() == 0
+
+
+def test_verbatim_copies_need_no_literal_share():
+    short = "What is 12 times 5 minus 3?"
+    assert hits([f"see: {short} yes"], [short]) == {0: [(0, 1.0, True)]}
+    listed = "Mix 5 g salt 3 ml oil 20 g flour 7 ml milk 2 kg sugar"
+    assert hits([f"so {listed} and"], [listed]) == {0: [(0, 1.0, True)]}
+    assert hits([short.replace("12", "13")], [short]) == {}  # other numbers need the share
+    assert hits([ITEM.upper(), ITEM.title()], [ITEM]) == {0: [(0, 1.0, True)], 1: [(0, 1.0, True)]}
