@@ -2,9 +2,10 @@
 
 Words become tokens: edge punctuation goes, ASCII letters are lower-cased.  A token that begins with a digit, or is a number word, is
 the slot <number>; a unit after a number is <unit>; a run of capitalised words inside a sentence is one <name>.
-Windows of ``width`` tokens are hashed and joined with the windows of the benchmark under two readings: the words
-themselves, so that verbatim windows meet whatever they hold; and templates, with slots in place of their values, so
-that a question with other numbers or names still meets its original.  A template window needs a share of ``min_literals`` words that are no slots.
+Windows of ``width`` tokens are hashed and joined with the windows of the benchmark under three readings: the words
+themselves, so that verbatim windows meet whatever they hold; templates, with slots in place of their values, so
+that a question with other numbers or names still meets its original; and templates in which the capitalised
+words that begin a text, line or sentence are names too.  A template window needs a share of ``min_literals`` words that are no slots.
 Meetings of templates are then checked: over all positions that the windows of one alignment cover, equal slot values of the item must
 face equal values of the document, and different ones different ones; else the alignment is dropped, with the
 verbatim windows that hold one of its slots.  An item is found in a document if the
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowlens.llm.arrowtext import LOWER, Texts, mix, parts_of, roller, texts_of, words_of
+from flowlens.llm.arrowtext import LOWER, Texts, Words, mix, parts_of, roller, texts_of, words_of
 
 BLOCK_BYTES = 8 << 20
 LITERAL, NUMBER, NAME, UNIT = range(4)
@@ -50,6 +51,7 @@ UPPER = np.zeros(256, bool)
 UPPER[65:91] = True
 STOP = np.zeros(256, bool)
 STOP[[ord(c) for c in ".!?:;"]] = True
+CLOSING = [c.encode() for c in "”’»"]
 
 
 @dataclass(frozen=True)
@@ -124,9 +126,7 @@ def canonical(texts: Texts, rule: Rule = Rule()) -> Tokens:
     start = solid[np.minimum(np.searchsorted(solid, words.start), len(solid) - 1)]
     end = solid[np.maximum(np.searchsorted(solid, words.end) - 1, 0)] + 1
     real = (start >= words.start) & (start < words.end)
-    stops = STOP[data[words.end - 1]]
-    opens = np.ones(len(owner), bool)  # first word of a text or sentence
-    opens[1:] = stops[:-1] | (owner[1:] != owner[:-1])
+    opens = _opens(data, words, owner, np.where(real, end, words.start))
     start, end, owner, opens = start[real], end[real], owner[real], opens[real]
     value = roller(21).spans(roller(21).letters[LOWER[data]], start, end)
     head = data[start] if len(start) else np.empty(0, np.uint8)
@@ -134,7 +134,25 @@ def canonical(texts: Texts, rule: Rule = Rule()) -> Tokens:
     first = np.searchsorted(owner, np.arange(len(texts) + 1))
     plain = Reading(value, value, np.where(number, NUMBER, LITERAL), np.arange(len(value) + 1), first, 0)
     inside = np.where(number, NUMBER, np.where(UPPER[head] & ~opens, NAME, LITERAL))
-    return Tokens(first, [plain, *[_template(value, kind, owner, len(texts), rule) for kind in (inside,)]])
+    anywhere = np.where(number, NUMBER, np.where(UPPER[head], NAME, LITERAL))
+    return Tokens(first, [plain, *[_template(value, kind, owner, len(texts), rule) for kind in (inside, anywhere)]])
+
+
+def _opens(data: np.ndarray, words: Words, owner: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Whether each word is the first of a text, line or sentence; ``end`` is where the closing punctuation of each word begins."""
+    count = lambda marks: np.concatenate([[0], np.cumsum(marks)])
+    stops, lines = count(STOP[data]), count(data == 10)
+    last = words.end
+    for quote in CLOSING:  # quotes of several bytes are no punctuation: the stop stands before them
+        at = np.maximum(last - len(quote), words.start)
+        same = last - at == len(quote)
+        for k, byte in enumerate(quote):
+            same &= data[np.minimum(at + k, len(data) - 1)] == byte
+        last, end = np.where(same, at, last), np.where(same, np.maximum(np.minimum(end, at - 1), words.start), end)
+    opens = np.ones(len(owner), bool)
+    opens[1:] = ((stops[words.end] > stops[np.minimum(end, words.end)])[:-1] | (lines[words.start[1:]] > lines[words.end[:-1]])
+                 | (owner[1:] != owner[:-1]))
+    return opens
 
 
 def _windows(tokens: Reading, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -214,7 +232,7 @@ def find_items(texts: Texts, index: Index, rule: Rule) -> dict[int, list[tuple[i
     changed: set[tuple[int, int]] = set()
     clashes: dict[tuple[int, int], dict[int, list[int]]] = {}  # by distance of the words, of names inside sentences and numbers
 
-    for k in (1, 0) if tokens.readings and index.tokens.readings else ():
+    for k in (1, 2, 0) if tokens.readings and index.tokens.readings else ():
         here, there = tokens.readings[k], index.tokens.readings[k]
         for text, item, shift, place, width in _alignments(here, there, index.by_width[k]):
             key, base = (text, item), int(there.first[item])

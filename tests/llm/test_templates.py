@@ -77,3 +77,18 @@ def test_verbatim_copies_need_no_literal_share():
     assert hits([f"so {listed} and"], [listed]) == {0: [(0, 1.0, True)]}
     assert hits([short.replace("12", "13")], [short]) == {}  # other numbers need the share
     assert hits([ITEM.upper(), ITEM.title()], [ITEM]) == {0: [(0, 1.0, True)], 1: [(0, 1.0, True)]}
+
+
+def test_names_that_begin_sentences():
+    item = "Maria has 12 red apples. Peter eats 5 green apples. Anna buys 7 more pears."
+    other = "Olga has 30 red apples. Ivan eats 4 green apples. Vera buys 9 more pears."
+    assert hits([other], [item]) == {0: [(0, 1.0, False)]}
+    assert hits([other.replace("Vera", "Ivan")], [item]) == {}
+
+
+def test_sentences_begin_after_lines_and_quotes():
+    item = "Take the big box of Alice and 3 more"
+    for before in ("A heading\n", 'she said "go on." ', "(so it was.) ", "he said “go on.” "):
+        tokens = t.canonical(texts_of(pa.array([before + item])))
+        assert tokens.readings[1].kind[-9] == t.LITERAL, before
+        assert hits([before + item.replace("Alice", "Carol")], [item])[0][0][0] == 0
