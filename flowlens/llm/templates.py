@@ -7,8 +7,8 @@ themselves, so that verbatim windows meet whatever they hold; templates, with sl
 that a question with other numbers or names still meets its original; and templates in which the capitalised
 words that begin a text, line or sentence are names too.  A template window needs a share of ``min_literals`` words that are no slots.
 Meetings of templates are then checked: over all positions that the windows of one alignment cover, equal slot values of the item must
-face equal values of the document, and different ones different ones; else the alignment is dropped, with the
-verbatim windows that hold one of its slots.  An item is found in a document if the
+face equal values of the document, and different ones different ones, but different numbers that have all changed may become
+equal.  Windows that hold a conflicting slot are dropped, verbatim ones too.  An item is found in a document if the
 other windows cover ``coverage`` of its words; it is verbatim if every slot value is the same.
 
 The benchmark is the stated query set.  It is taken in blocks of about ``BLOCK_BYTES`` of item text, spread by hash;
@@ -203,9 +203,13 @@ def _meetings(reading: Reading, by_width: dict[int, tuple[np.ndarray, np.ndarray
 
 
 def _conflicts(mine: np.ndarray, theirs: np.ndarray, number: np.ndarray) -> np.ndarray:
-    """All slots, unless equal values face equal ones and different values different ones."""
-    pairs = len({*zip(mine.tolist(), theirs.tolist())})
-    return np.full(len(mine), not pairs == len(set(mine.tolist())) == len(set(theirs.tolist())))
+    """Slots whose value stands for several values of the other side; several numbers may become one if all of them change."""
+    forth, back = {}, {}
+    for m, t, n in zip(mine.tolist(), theirs.tolist(), number.tolist()):
+        forth.setdefault(m, set()).add(t)
+        back.setdefault(t, set()).add((m, n))
+    free = {t for t, found in back.items() if all(n and m != t for m, n in found)}
+    return np.array([len(forth[m]) > 1 or (t not in free and len({x for x, _ in back[t]}) > 1) for m, t in zip(mine.tolist(), theirs.tolist())], bool)
 
 
 def _alignments(tokens: Reading, theirs: Reading, by_width: dict) -> Iterator[tuple[int, int, int, np.ndarray, np.ndarray]]:
@@ -248,7 +252,7 @@ def find_items(texts: Texts, index: Index, rule: Rule) -> dict[int, list[tuple[i
             else:
                 bad = np.sort(np.array(clashes.get(key, {}).get(shift - base, []), np.int64)) - base
                 other = bad[:0]
-            good = np.full(len(place), not len(bad)) if k else np.searchsorted(bad, place) == np.searchsorted(bad, place + width)
+            good = np.searchsorted(bad, place) == np.searchsorted(bad, place + width)
             for p, w in zip(place[good], width[good]):
                 covered.setdefault(key, set()).update(range(int(there.word[base + p]), int(there.word[base + p + w])))
             if (np.searchsorted(other, place[good]) < np.searchsorted(other, (place + width)[good])).any():

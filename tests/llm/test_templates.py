@@ -92,3 +92,14 @@ def test_sentences_begin_after_lines_and_quotes():
         tokens = t.canonical(texts_of(pa.array([before + item])))
         assert tokens.readings[1].kind[-9] == t.LITERAL, before
         assert hits([before + item.replace("Alice", "Carol")], [item])[0][0][0] == 0
+
+
+def test_a_conflict_drops_only_its_windows():
+    words = [f"w{i}" for i in range(59)]
+    words[20] = words[40] = "7"
+    other = [*words]
+    other[20] = "8"
+    found = hits([" ".join(other)], [" ".join(words)])
+    assert found[0][0][0] == 0 and 0.9 < found[0][0][1] < 1
+    item = "take 12 of them and put 5 of them back into the big old box"
+    assert hits([item.replace("12", "7").replace("5", "7")], [item]) == {0: [(0, 1.0, False)]}
