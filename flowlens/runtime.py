@@ -59,7 +59,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def scratch_home(spark: SparkSession) -> str:
     """Where all intermediate tables of this application lie."""
-    return f"{scratch_dir(spark)}/flowlens/{spark.sparkContext.applicationId}"
+    app = spark.conf.get("spark.app.id", "")
+    return f"{scratch_dir(spark)}/flowlens" + (f"/{app}" if app else "")
 
 
 def release_scratch(spark: SparkSession) -> None:

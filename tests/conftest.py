@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path[:0] = [ROOT, os.path.join(ROOT, "tests")]
 
-SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+from settings import SF  # noqa: E402
 
 
 @pytest.fixture(scope="session")

@@ -119,3 +119,13 @@ def test_scratch_follows_the_session(spark):
 
 def test_flow_layout():
     assert [f.name for f in flow_schema()][:5] == ["srcip", "sport", "dstip", "dsport", "proto"]
+
+
+def test_every_test_module_has_a_name_of_its_own():
+    """Two modules of one name hide each other, and the tests of one of them do not run."""
+    from collections import Counter
+    from pathlib import Path
+    here = Path(__file__).resolve().parent
+    names = Counter(p.stem for p in here.rglob("*.py") if p.stem not in ("__init__", "conftest"))
+    assert [n for n, k in names.items() if k > 1] == []
+    assert not any("from conftest" in p.read_text() for p in here.rglob("test_*.py") if p.name != Path(__file__).name)

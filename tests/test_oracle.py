@@ -2,7 +2,7 @@
 
 import pytest
 from compare import connect, difference
-from conftest import SF
+from settings import SF
 
 import __spark_entry__ as entry_point
 from flowlens.plans.catalog import REGISTRY
