@@ -6,9 +6,10 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from flowlens.llm import blockdedup, bpe, chat, licences, neardup, outliers, quality, secrets, suffixdedup, templates
+from flowlens.llm.vector_queries import VECTORS
 from flowlens.plans.registry import Registry
 
-LLM = Registry()
+LLM = Registry(dict(VECTORS.queries), dict(VECTORS.sql))
 
 
 def table(spark, sf: str, name: str):
