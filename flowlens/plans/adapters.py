@@ -209,10 +209,13 @@ def latest(alerts_df: DataFrame) -> Column:
 
 
 def updates(spark: SparkSession, sf: str) -> DataFrame:
+    return updates_of(table(spark, sf, "events"))
+
+
+def updates_of(events: DataFrame) -> DataFrame:
     """Status updates: several per alert, some invalid, some for unknown alerts."""
-    e = table(spark, sf, "events")
     target = F.col("event_id") - F.when(F.col("event_type") == "click", 1).otherwise(0)
-    return e.select(
+    return events.select(
         F.when(F.col("event_type") == "error", F.concat(F.lit("x"), "event_id"))
         .otherwise(target.cast("string")).alias("id"),
         F.when(F.col("event_type") == "signup", "pending").when(F.col("value") > 90, "closed")

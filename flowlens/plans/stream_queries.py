@@ -6,10 +6,13 @@ equal its batch twin.
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from flowlens.functions.columns import instant_clock, utc_instant
+from flowlens.operators.alerts import check_updates
 from flowlens.operators.profile import enrich, fit_profile
 from flowlens.plans import flow_queries
-from flowlens.plans.adapters import ALERTS_SQL, alerts_of, packets, packets_of, table
+from flowlens.plans.adapters import ALERTS_SQL, UPDATES_SQL, alerts_of, packets, packets_of, table, updates_of
 from flowlens.plans.registry import Registry, r6
 from flowlens.runtime import scratch_path
 from flowlens.schema import flow_schema
@@ -72,6 +75,22 @@ def _(spark, sf):
     return jobs.last_snapshot(spark, path)
 
 
+@REG.add("stream_pending_counts", "WITH" + UPDATES_SQL + """
+ SELECT attack_cat, count(*) AS n, count(*) FILTER (coalesce(u.status, a.status) = 'pending') AS pending
+ FROM alerts a LEFT JOIN last_update u USING (id) GROUP BY 1""")
+def _(spark, sf):
+    """Counts that fall when an alert is handled: alerts and updates arrive on one stream, in small batches."""
+    events = _stream(spark, sf, "events")
+    arrived = alerts_of(events).select("id", "attack_cat", "status", utc_instant("timestamp").alias("at"), F.lit(False).alias("is_update"))
+    said = check_updates(updates_of(events)).accepted.select(
+        "id", F.lit(None).cast("string").alias("attack_cat"), "status",
+        utc_instant("resolved_at").alias("at"), F.lit(True).alias("is_update"))
+    path = scratch_path(spark, "pending-changes")
+    changes = jobs.drain(jobs.alert_changes(arrived.unionByName(said)), path, scratch_path(spark, "stream-checkpoint"),
+                         transform=jobs.sum_of_batch)
+    return jobs.sum_changes(changes)
+
+
 @REG.add("stream_flow_decode", flow_queries.PACKETS + """
  SELECT srcip, dstip, proto, dur, sload, stcpb, CAST(stime AS INT) AS stime, start_clock AS event_time FROM packets""")
 def _(spark, sf):

@@ -101,7 +101,7 @@ class AlertStore:
             raise Conflict(f"version {v.number} of {self.path} exists already")
         return v
 
-    def _write(self, rows: DataFrame, kind: str, files_by_day: DataFrame | None = None) -> list[tuple[str, str]]:
+    def _write(self, rows: DataFrame, kind: str) -> list[tuple[str, str]]:
         """Put rows down below a new folder and return (day, folder) of what was written."""
         folder = f"{kind}-{uuid.uuid4().hex}"
         rows.write.partitionBy("day").parquet(f"{self.path}/data/{folder}")

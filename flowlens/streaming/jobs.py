@@ -10,9 +10,11 @@ from __future__ import annotations
 import threading
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 from flowlens.operators.alerts import unannounced
 from flowlens.operators.explore import window_counts
@@ -42,6 +44,58 @@ def running_category_counts(alerts: DataFrame) -> DataFrame:
         F.count("*").alias("n"), F.count_if(F.col("status") == "pending").alias("pending"))
 
 
+ALERT_STATE = "seen boolean, attack_cat string, status string, updated long, update_status string"
+CHANGES = "attack_cat string, n long, pending long"
+
+
+def alert_changes(events: DataFrame, keep: str = "24 hours") -> DataFrame:
+    """What every alert or update adds to the counts of its class: rows (attack_cat, n, pending) of +1 and -1.
+
+    ``events`` has id, attack_cat, status, at (a time) and is_update.  Keyed state holds the class and the last status of
+    an alert, so an update that handles it takes it off the pending ones, and a message delivered again changes
+    nothing.  Of several updates the latest counts (then the greater status), in whatever order they come; an update that
+    comes before its alert waits for it.  Events more than ``keep`` behind the newest are late and have no effect; the state
+    of a handled alert is dropped that long after its last event.
+    """
+    wait = int(pd.Timedelta(keep).total_seconds() * 1000)
+
+    def step(key, batches, state):
+        if state.hasTimedOut:
+            state.remove()
+            return
+        seen, category, status, updated, changed = state.get if state.exists else (False, None, None, None, None)
+        before = (bool(seen), bool(seen) and (changed or status) == "pending")
+        newest = 0
+        for rows in batches:
+            for cat, new, order, is_update in zip(rows["attack_cat"], rows["status"], rows["_order"], rows["is_update"]):
+                newest = max(newest, int(order))
+                if is_update:
+                    if updated is None or (int(order), new) > (updated, changed):
+                        updated, changed = int(order), new
+                elif not seen:
+                    seen, category, status = True, None if pd.isna(cat) else cat, None if pd.isna(new) else new
+        now = (bool(seen), bool(seen) and (changed or status) == "pending")
+        state.update((seen, category, status, updated, changed))
+        if seen and not now[1]:
+            state.setTimeoutTimestamp(max(state.getCurrentWatermarkMs(), newest // 1000) + wait)
+        if now != before:
+            yield pd.DataFrame({"attack_cat": [category], "n": [now[0] - before[0]], "pending": [int(now[1]) - int(before[1])]})
+
+    ordered = events.withWatermark("at", keep).withColumn("_order", F.coalesce(F.unix_micros("at"), F.lit(0)))
+    return ordered.groupBy("id").applyInPandasWithState(step, CHANGES, ALERT_STATE, "append", GroupStateTimeout.EventTimeTimeout)
+
+
+def sum_of_batch(changes: DataFrame) -> DataFrame:
+    """One row per class of a micro-batch, so that the table of changes stays small."""
+    return changes.groupBy("attack_cat").agg(F.sum("n").alias("n"), F.sum("pending").alias("pending"))
+
+
+def sum_changes(changes: DataFrame) -> DataFrame:
+    """Rows and pending alerts per class after all changes so far, never below zero."""
+    total = lambda c: F.greatest(F.sum(c), F.lit(0)).cast("long").alias(c)
+    return changes.groupBy("attack_cat").agg(total("n"), total("pending"))
+
+
 def new_alerts(stream: DataFrame) -> DataFrame:
     """The alerts that still have to be announced."""
     return unannounced(stream)
