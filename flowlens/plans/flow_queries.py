@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from flowlens.functions.columns import (
     attack_name, bytes_ratio, handshake_time, is_attack, same_endpoint, utc_clock,
 )
-from flowlens.operators import explore, graph, profile, sequence, split
+from flowlens.operators import daily, explore, graph, growing_graph, profile, sequence, split
 from flowlens.operators.clean import clean_flows
 from flowlens.operators.encode import category_codes, encode
 from flowlens.operators.sampling import class_weights, sample_by_hash, undersample, with_class_weights
@@ -96,6 +96,17 @@ def _(spark, sf):
     return profile.key_averages(packets(spark, sf), "state").select("state", *_usual("state"))
 
 
+@REG.add("proto_stats_by_days", PACKETS + f" SELECT proto, {_averages_sql('proto')} FROM packets GROUP BY 1")
+def _(spark, sf):
+    """The same averages from the states of the months, added year by year; the last year is added twice."""
+    path, rows = scratch_path(spark, "days"), packets(spark, sf)
+    year = F.year("start_clock")
+    first, last = rows.agg(F.min(year), F.max(year)).first()
+    for y in [*range(first, last + 1), last] if first is not None else ():
+        daily.add_days(rows.filter(year == y), path, F.trunc("start_clock", "month"))
+    return daily.profile_of_days(spark, path).tables["proto"].select("proto", *_usual("proto"))
+
+
 def _enrich_sql(key: str) -> str:
     return PACKETS + f""", stats AS (SELECT {key}, {_averages_sql(key)} FROM packets GROUP BY 1)
  SELECT srcip, dstip, {key}, {', '.join(f'avg_{m}_{key}' for m in PROFILE_MEASURES)}
@@ -449,6 +460,18 @@ def _(spark, sf):
     return graph.connected_components(edges)
 
 
+@REG.add("ip_components_by_batches", REG.sql["ip_components"])
+def _(spark, sf):
+    """The components of the traffic of each day, its edges added in three batches."""
+    path, day = scratch_path(spark, "growing-graph"), F.date_format("start_clock", "yyyy-MM-dd")
+    edges = packets(spark, sf).select(
+        F.concat(day, F.lit("/"), "srcip").alias("src"), F.concat(day, F.lit("/"), "dstip").alias("dst"),
+        F.pmod("stcpb", F.lit(3)).alias("batch"))
+    for batch in range(3):
+        growing_graph.add_edges(edges.filter(F.col("batch") == batch), path)
+    return growing_graph.components(spark, path)
+
+
 @REG.add("ip_bfs", "WITH RECURSIVE" + PACKETS_SQL + """,
  links AS (SELECT srcip AS a, dstip AS b FROM packets UNION SELECT dstip, srcip FROM packets),
  walk AS (SELECT 's1' AS id, 0 AS distance UNION
