@@ -1,14 +1,14 @@
 """Byte-level BPE by corpus-level merge replay, and decoding.
 
 The texts of a block are cut by the public pattern.  Its distinct pieces form one corpus: a doubly linked list
-of tokens over all of them, with an inverted index from rank to the positions where two neighbours make up
-the token of that rank.  A heap gives the lowest rank present; each of its positions is merged, and only the
-pairs with the two neighbours are looked up anew.  Pieces are independent, so replaying all of them together
-gives what merging each alone would give: always the lowest rank of the piece, leftmost first.  Where a merge
+of tokens over all of them, with an inverted index from a pair of neighbouring tokens (named by the rank it merges
+into) to the positions where it stands.  A heap gives the lowest rank present; all its positions are merged at once,
+and only the pairs with the two neighbours are looked up anew.  Pieces are independent, so replaying all of them
+together gives what merging each alone would give: always the lowest rank of the piece, leftmost first.  Where a merge
 makes a pair of a lower rank than the one in hand, the rest of that piece waits until the lower one is done.
 
-No shuffle: every block is a few MB of whole texts, and encoded pieces are kept for the next block (up to
-``KEEP`` pieces; beyond that the table is begun anew, which costs time and changes no result).
+No shuffle: a block is what a task reads, up to ``BLOCK_BYTES`` of whole texts, and nothing is kept from one block to
+the next.
 
 Edge cases: null and empty texts give no ids; invalid ranks cannot occur because all 256 bytes have one;
 repeated rows are encoded each; an empty table gives an empty result; other columns are passed through.
@@ -18,7 +18,9 @@ from __future__ import annotations
 
 import base64
 import heapq
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -28,8 +30,11 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-KEEP = 400_000  # encoded pieces a task remembers
-BLOCK_CHARS = 1_500_000  # characters whose pieces are replayed together; a longer text is a block of its own
+from flowlens.llm.arrowtext import parts_of
+
+BLOCK_BYTES = 4 << 20  # of text whose pieces are replayed together; a longer text is a block of its own
+SLICE = 1 << 18  # positions looked up at once
+NONE = np.int32((1 << 31) - 1)  # rank of a pair that does not merge
 
 
 def ship_ranks(spark: SparkSession, path: str) -> str:
@@ -44,88 +49,141 @@ def load_ranks(name: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
-def replay_merges(pieces: list[bytes], ranks: dict[bytes, int]) -> list[np.ndarray]:
-    """The ids of every piece, all pieces merged together."""
-    data = b"".join(pieces)
+@dataclass(frozen=True)
+class Merges:
+    """The vocabulary as tables: the id of every byte, and the rank that two neighbouring tokens merge into."""
+
+    byte: np.ndarray
+    key: np.ndarray  # sorted, left token * size + right token
+    rank: np.ndarray
+    size: int
+
+    @staticmethod
+    def of(ranks: dict[bytes, int]) -> Merges:
+        size = max(ranks.values(), default=0) + 2  # the last id is that of "no neighbour"
+        byte = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
+        keys, found = [], []
+        for token, rank in ranks.items():
+            for cut in range(1, len(token)):
+                left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
+                if left is not None and right is not None:
+                    keys.append(left * size + right)
+                    found.append(rank)
+        key, rank_ = np.array(keys, np.int64), np.array(found, np.int64)
+        order = np.argsort(key)
+        return Merges(byte, np.append(key[order], size * size), np.append(rank_[order], NONE).astype(np.int32), size)
+
+    def look(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of each pair, NONE where the two do not merge."""
+        key = left.astype(np.int64) * self.size + right
+        at = np.searchsorted(self.key, key)
+        return np.where(self.key[at] == key, self.rank[at], NONE)
+
+
+def replay_merges(pieces: list[bytes], merges: Merges) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all pieces end to end, and where each piece begins in them (one entry more than pieces)."""
+    data = np.frombuffer(b"".join(pieces), np.uint8)
     n = len(data)
-    ends = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))
-    piece = np.repeat(np.arange(len(pieces)), np.diff(ends, prepend=0)).tolist()
-    token: list[bytes | None] = [data[i: i + 1] for i in range(n)]
-    after = list(range(1, n + 1))
-    before = list(range(-1, n - 1))
-    for end in ends.tolist():  # no neighbour beyond a piece
-        if end:
-            after[end - 1] = -1
-            if end < n:
-                before[end] = -1
-    positions: dict[int, list[int]] = {}
-    get = ranks.get
-    for i in range(n):
-        if (j := after[i]) >= 0 and (rank := get(token[i] + token[j])) is not None:
-            if rank in positions:
-                positions[rank].append(i)
+    bounds = np.zeros(len(pieces) + 1, np.int64)
+    np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)), out=bounds[1:])
+    piece = np.repeat(np.arange(len(pieces), dtype=np.int32), np.diff(bounds))
+    token = merges.byte[data]
+    # position n stands for "no neighbour": its token merges with nothing
+    token = np.append(token, np.int32(merges.size - 1))
+    after, before = np.append(np.arange(1, n + 1, dtype=np.int32), np.int32(n)), np.arange(-1, n, dtype=np.int32)
+    ends = bounds[1:][np.diff(bounds) > 0]
+    after[ends - 1] = n
+    before[ends[:-1]] = n
+    if n:
+        before[0] = n
+    now = np.full(n + 1, NONE)  # rank of the pair that begins at a position
+    for start in range(0, n, SLICE):
+        at = np.arange(start, min(start + SLICE, n))
+        now[at] = _pair(token, at, after, merges, n)
+    index: dict[int, list[np.ndarray]] = {}
+    heap: list[int] = []
+
+    def note(places: np.ndarray, ranks: np.ndarray) -> None:
+        """Add positions to the inverted index."""
+        if not len(places):
+            return
+        order = ranks.argsort(kind="stable")
+        places, ranks = places[order], ranks[order]
+        cuts = [0, *(np.flatnonzero(ranks[1:] != ranks[:-1]) + 1).tolist(), len(ranks)]
+        for s, e, rank in zip(cuts, cuts[1:], ranks[cuts[:-1]].tolist()):
+            if rank in index:
+                index[rank].append(places[s:e])
             else:
-                positions[rank] = [i]
-    heap = list(positions)
-    heapq.heapify(heap)
-
-    def note(i: int, rank: int) -> None:
-        if rank in positions:
-            positions[rank].append(i)
-        else:
-            positions[rank] = [i]
-            heapq.heappush(heap, rank)
+                index[rank] = [places[s:e]]
+                heapq.heappush(heap, rank)
 
+    first = np.flatnonzero(now < NONE).astype(np.int32)
+    note(first, now[first])
     while heap:
         rank = heapq.heappop(heap)
-        waiting: set[int] = set()
-        rest: list[int] = []
-        for i in sorted(positions.pop(rank)):
-            if waiting and piece[i] in waiting:
-                rest.append(i)
-                continue
-            left = token[i]
-            if left is None or (j := after[i]) < 0 or get(merged := left + token[j]) != rank:
-                continue  # a neighbour has changed since this position was noted
-            token[i], token[j] = merged, None
-            k = after[i] = after[j]
-            if k >= 0:
-                before[k] = i
-                if (new := get(merged + token[k])) is not None:
-                    note(i, new)
-                    if new < rank:
-                        waiting.add(piece[i])
-            if (h := before[i]) >= 0 and (new := get(token[h] + merged)) is not None:
-                note(h, new)
-                if new < rank:
-                    waiting.add(piece[i])
-        for i in rest:
-            note(i, rank)
-    ids = np.fromiter((-1 if t is None else ranks[t] for t in token), np.int64, n)
-    return [part[part >= 0].astype("<u4") for part in np.split(ids, ends[:-1])] if pieces else []
+        parts = index.pop(rank)
+        at = parts[0] if len(parts) == 1 else np.concatenate(parts)
+        at = at[now[at] == rank]  # a neighbour of the others has changed since they were noted
+        if len(at) > 1:
+            at = np.unique(at)
+            run = np.append(True, after[at[:-1]] != at[1:])
+            if not run.all():  # of positions in a row every second one merges, from the left
+                place = np.arange(len(at))
+                at = at[(place - np.maximum.accumulate(np.where(run, place, 0))) % 2 == 0]
+        if not len(at):
+            continue
+        right = after[at]
+        beyond = after[right]
+        own = piece[at]
+        if len(at) > 1 and (own[1:] == own[:-1]).any():
+            both = np.full(len(at), rank, np.int32)
+            lower = ((merges.look(token[before[at]], both) < rank) | (merges.look(both, token[beyond]) < rank)
+                     | (merges.look(both[:1], both[:1])[0] < rank))
+            if lower.any():  # where a merge makes a pair of a lower rank, the rest of its piece waits until that is done
+                held = np.isin(own, own[lower]) & np.append(False, own[1:] == own[:-1])
+                note(at[held], np.full(int(held.sum()), rank))
+                at, right, beyond = at[~held], right[~held], beyond[~held]
+        token[at] = rank
+        now[right] = NONE
+        token[right] = -1
+        after[at] = beyond
+        before[beyond] = at
+        before[n] = n
+        back = before[at]
+        now[at] = _pair(token, at, after, merges, n)
+        now[back] = _pair(token, back, after, merges, n)
+        now[n] = NONE
+        changed = np.concatenate([at, back])
+        changed = changed[now[changed] < NONE]
+        note(changed, now[changed])
+    kept = np.flatnonzero(token[:n] >= 0)
+    return token[kept].astype("<u4"), np.searchsorted(kept, bounds)
+
+
+def _pair(token: np.ndarray, at: np.ndarray, after: np.ndarray, merges: Merges, none: int) -> np.ndarray:
+    """Rank of the pair that begins at each position."""
+    return np.where((at != none) & (after[at] != none), merges.look(token[at], token[after[at]]), NONE)
 
 
 class Encoder:
     """Encodes texts block by block; ids come as little-endian unsigned 32-bit integers."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.ranks, self.find, self.known = ranks, regex.compile(pattern).findall, {}
+        self.merges, self.find = Merges.of(ranks), regex.compile(pattern).findall
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [self.find(t) for t in texts]
-        if len(self.known) > KEEP:
-            self.known = {}
-        new = {p for pieces in cut for p in pieces if p not in self.known}
-        raw = [p.encode() for p in new]
-        whole = [self.ranks.get(p) for p in raw]  # a piece that is a token needs no merge
-        for p, rank in zip(new, whole):
-            if rank is not None:
-                self.known[p] = rank.to_bytes(4, "little")
-        open_, bytes_ = [p for p, r in zip(new, whole) if r is None], [b for b, r in zip(raw, whole) if r is None]
-        for p, ids in zip(open_, replay_merges(bytes_, self.ranks)):
-            self.known[p] = ids.tobytes()
-        known = self.known.__getitem__
-        return [b"".join(map(known, pieces)) for pieces in cut]
+        number: dict[str, int] = defaultdict()  # distinct pieces in order of appearance
+        number.default_factory = number.__len__
+        look = number.__getitem__
+        cut = [np.fromiter(map(look, self.find(t)), np.int32) for t in texts]
+        ids, begin = replay_merges([p.encode() for p in number], self.merges)
+        size = np.diff(begin)
+        found = []
+        for pieces in cut:
+            length = size[pieces]
+            place = np.cumsum(length) - length
+            found.append(ids[np.arange(int(length.sum())) + np.repeat(begin[pieces] - place, length)].tobytes())
+        return found
 
 
 class Decoder:
@@ -146,18 +204,6 @@ class Decoder:
         return self.flat[np.arange(int(length.sum())) + np.repeat(self.begin[numbers] - place, length)].tobytes()
 
 
-def _blocks(texts: list[str]) -> Iterator[list[str]]:
-    block, size = [], 0
-    for text in texts:
-        block.append(text)
-        size += len(text)
-        if size >= BLOCK_CHARS:
-            yield block
-            block, size = [], 0
-    if block:
-        yield block
-
-
 def encode_texts(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids: str = "ids",
                  decoded: str = "decoded") -> DataFrame:
     """``docs`` with the ids of its text (binary, 4 bytes an id) and the bytes these decode to."""
@@ -171,11 +217,8 @@ def encode_texts(docs: DataFrame, ranks_path: str, pattern: str, text: str = "te
         ranks = load_ranks(name)
         encoder, decoder = Encoder(ranks, pattern), Decoder(ranks)
         for batch in batches:
-            start = 0
-            for block in _blocks([t or "" for t in batch.column(at).to_pylist()]):
-                part = batch.slice(start, len(block))
-                start += len(block)
-                found = encoder.encode(block)
+            for part, _ in parts_of(batch, at, BLOCK_BYTES):
+                found = encoder.encode([t or "" for t in part.column(at).to_pylist()])
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(i) for i in keep), pa.array(found, pa.binary()),
                      pa.array([decoder.decode(x) for x in found], pa.binary())],
