@@ -27,14 +27,23 @@ marked AS (
     + CASE role WHEN 'system' THEN 8 WHEN 'user' THEN 9 WHEN 'assistant' THEN 10
       ELSE 16 + length(regexp_replace(replace(role, '\', '\\'),
       '(<)(/?s>)|(\[)(/?INST\]|SYS\]|/?ROLE\])', '\1\3\\\2\4', 'g')) END + 4 AS chars
-  FROM turns)
+  FROM turns),
+ordered AS (
+  SELECT *, row_number() OVER w - 1 AS place, lag(role) OVER w AS state, lead(role) OVER w IS NULL AS is_last
+  FROM marked WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+machine AS (
+  SELECT *, coalesce(CASE state WHEN 'system' THEN role = 'user' WHEN 'user' THEN role = 'assistant'
+    WHEN 'assistant' THEN role = 'user' ELSE place = 0 AND role IN ('system', 'user') END, FALSE) AS allowed
+  FROM ordered)
 SELECT conv_id, count(*) AS n_turns,
+  min(place) FILTER (NOT allowed) IS NULL AND max(role) FILTER (is_last) = 'assistant' AS valid,
+  (min(place) FILTER (NOT allowed))::INTEGER AS bad_turn,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
   coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), ''))
     AS loss_sha256,
   sum(chars)::BIGINT AS formatted_chars
-FROM marked GROUP BY conv_id""")
+FROM machine GROUP BY conv_id""")
 def op10(spark, sf):
     rows = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.sql(
@@ -45,7 +54,7 @@ def op10(spark, sf):
     return (
         chat.format_chats(rows.unionByName(probe)).withColumn("turns", turns).withColumn("trained", trained)
         .select(
-            "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(flat, 256).alias("turns_sha256"),
+            "conv_id", F.size("turns").cast("long").alias("n_turns"), "valid", "bad_turn", F.sha2(flat, 256).alias("turns_sha256"),
             F.length("trained").cast("long").alias("loss_chars"), F.sha2("trained", 256).alias("loss_sha256"),
             F.length("formatted").cast("long").alias("formatted_chars")))
 

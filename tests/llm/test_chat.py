@@ -51,3 +51,11 @@ def test_null_and_repeated_turns(spark):
            .withColumn("back", chat.read_back(F.col("formatted"))).collect()}
     assert got == {None: ["x", "x"], 2: ["a", "b"]}
     assert chat.format_chats(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_the_query_runs_the_machine(spark, sf):
+    out = LLM.queries["op10_chat_format"](spark, sf)
+    assert {"valid", "bad_turn"} <= set(out.columns)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert chat.REJECTED in plan and chat.START in plan
+    assert out.filter("conv_id = -7").first().valid
