@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 SEPARATOR = np.zeros(256, bool)
 SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
 
-GROW = 1 << 18
+GROW = 1 << 18  # hash powers a process keeps for each roller; longer texts compute theirs anew
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -47,21 +47,26 @@ class Roller:
         self.salt = np.uint64(rng.integers(1 << 63, dtype=np.uint64))
         self._up = self._down = np.ones(1, np.uint64)
 
-    def _powers(self, n: int) -> None:
+    def _powers(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Powers of the base and of its inverse, ``n`` of them at least."""
         if len(self._up) < n:
-            size = -(-n // GROW) * GROW  # kept for the next batch, so not much larger than needed
-            for name, factor in (("_up", self.base), ("_down", self.inverse)):
-                line = np.full(size, factor, np.uint64)
+            lines = []
+            for factor in (self.base, self.inverse):
+                line = np.full(max(n, GROW), factor, np.uint64)
                 line[0] = 1
-                setattr(self, name, np.cumprod(line))
+                lines.append(np.cumprod(line))
+            if n > GROW:
+                return lines[0], lines[1]
+            self._up, self._down = lines
+        return self._up, self._down
 
     def spans(self, values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Hash of values[start[i]:end[i]] for every i; the length is part of it."""
-        self._powers(len(values) + 1)
+        up, down = self._powers(len(values) + 1)
         sums = np.zeros(len(values) + 1, np.uint64)
-        np.cumsum(values * self._up[: len(values)], out=sums[1:])
+        np.cumsum(values * up[: len(values)], out=sums[1:])
         found = sums[end] - sums[start]
-        found *= self._down[start]
+        found *= down[start]
         found += (end - start).astype(np.uint64) * self.salt
         return mix(found)
 
@@ -70,11 +75,11 @@ class Roller:
         n = len(values) - width + 1
         if n <= 0:
             return np.empty(0, np.uint64)
-        self._powers(len(values) + 1)
+        up, down = self._powers(len(values) + 1)
         sums = np.zeros(len(values) + 1, np.uint64)
-        np.cumsum(values * self._up[: len(values)], out=sums[1:])
+        np.cumsum(values * up[: len(values)], out=sums[1:])
         found = sums[width:] - sums[:-width]
-        found *= self._down[:n]
+        found *= down[:n]
         return mix(found)
 
 

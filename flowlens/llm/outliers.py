@@ -114,16 +114,23 @@ def vectors(stats: DataFrame) -> DataFrame:
         n: F.coalesce(F.round(value() * UNIT), F.lit(0)).cast("long") for n, (_, value, _) in zip(NAMES, VECTOR)})
 
 
-def with_cells(rows: DataFrame, min_rows: int) -> DataFrame:
-    """``rows`` with the cell each belongs to: language and source, language, or all."""
+def cells_of(rows: DataFrame, min_rows: int) -> DataFrame:
+    """(_fine, _cell): the cell of each language and source - itself, its language, or all."""
     fine, coarse = F.to_json(F.struct("lang", "source")), F.to_json(F.struct("lang"))
-    rows = rows.withColumns({"_fine": fine, "_coarse": coarse})
-    n_fine = rows.groupBy("_fine", "_coarse").agg(F.count("*").alias("_n"))
+    n_fine = rows.groupBy(fine.alias("_fine"), coarse.alias("_coarse")).agg(F.count("*").alias("_n"))
     n_coarse = n_fine.groupBy("_coarse").agg(F.sum("_n").alias("_m"))
-    cells = materialise(n_fine.join(n_coarse, "_coarse").select(
+    return materialise(n_fine.join(n_coarse, "_coarse").select(
         "_fine", F.when(F.col("_n") >= min_rows, F.col("_fine"))
         .when(F.col("_m") >= min_rows, F.col("_coarse")).otherwise("*").alias("_cell")), "cells")
-    return rows.join(cells, "_fine").drop("_fine", "_coarse")
+
+
+def _in_cells(rows: DataFrame, cells: DataFrame) -> DataFrame:
+    return rows.withColumn("_fine", F.to_json(F.struct("lang", "source"))).join(cells, "_fine").drop("_fine")
+
+
+def with_cells(rows: DataFrame, min_rows: int) -> DataFrame:
+    """``rows`` with the cell each belongs to: language and source, language, or all."""
+    return _in_cells(rows, cells_of(rows, min_rows))
 
 
 def _quartiles(rows: DataFrame) -> DataFrame:
@@ -218,16 +225,34 @@ def fit_mcd(rows: DataFrame, rules: Rules = Rules()) -> DataFrame:
 
 
 def quality_rules(docs: DataFrame, rules: Rules = Rules(), text: str = "text") -> DataFrame:
-    """``docs`` with the statistics, ``base_failed``, ``distance2`` (null where the base rules failed), ``kept``."""
+    """``docs`` with the statistics, ``base_failed``, ``distance2`` (null where the base rules failed), ``kept``.
+
+    The estimate is made from statistics without their texts; then the texts are read once more and judged as they
+    pass, so no text is written or shuffled on the way.
+    """
     docs = docs.drop(*[c for c in [*BASE, *MORE, *NAMES, "base_failed", "distance2", "kept"] if c in docs.columns])
-    return judge(text_statistics(docs, text), rules)
+    # stored before it is filtered: a filter would be pushed below and compute the statistics a second time
+    passed = materialise(base_verdict(vectors(text_statistics(docs.select("lang", "source", text), text)), rules).select(
+        "lang", "source", "base_failed", *NAMES), "stats").filter(~F.col("base_failed"))
+    cells = cells_of(passed, rules.min_rows)
+    model = fit_mcd(materialise(_in_cells(passed, cells).select("_cell", *NAMES), "vectors"), rules)
+    by_source = materialise(cells.join(model, "_cell").drop("_cell"), "rules")
+    stats = base_verdict(vectors(text_statistics(docs, text)), rules)
+    known = stats.withColumn("_fine", F.to_json(F.struct("lang", "source"))).join(by_source, "_fine", "left")
+    distance = F.when(~F.col("base_failed"), _distance() / F.col("_widen"))
+    # one condition over both sides of the join, so that a filter on it stays above the join
+    return known.withColumn("distance2", distance).withColumn(
+        "kept", F.coalesce(F.col("distance2") <= rules.cutoff, F.lit(False))).select(*stats.columns, "distance2", "kept")
+
+
+def base_verdict(stats: DataFrame, rules: Rules) -> DataFrame:
+    return stats.withColumn("base_failed", (F.col("n_words") < rules.min_words)
+                            | (100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words")))
 
 
 def judge(stats: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """Verdicts from statistics; they are stored once, so a caller who needs no texts drops these before."""
-    stats = materialise(vectors(stats).withColumn(
-        "base_failed", (F.col("n_words") < rules.min_words)
-        | (100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words"))), "stats")
+    stats = materialise(base_verdict(vectors(stats), rules), "stats")
     passed = stats.filter(~F.col("base_failed")).select("lang", "source", *NAMES)
     cells = materialise(with_cells(passed, rules.min_rows).select("_cell", *NAMES), "vectors")
     model = fit_mcd(cells, rules)

@@ -20,7 +20,7 @@ def shingles(text):
     return {tuple(w[i: i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
 
 
-def brute(rows):
+def brute(rows, percent=85):
     """(doc_id, text) rows -> {doc_id: (n, component)}."""
     sets = {i: shingles(t) for i, t in rows}
     parent = {i: i for i in sets}
@@ -37,7 +37,7 @@ def brute(rows):
     pairs = {(a, b) for ids in where.values() for k, b in enumerate(ids) for a in ids[:k]}
     for a, b in pairs:
         n = len(sets[a] & sets[b])
-        if 100 * n >= 85 * (len(sets[a]) + len(sets[b]) - n):
+        if 100 * n >= percent * (len(sets[a]) + len(sets[b]) - n):
             x, y = sorted((root(a), root(b)))
             parent[y] = x
     return {i: (len(sets[i]), root(i)) for i in sets}

@@ -42,7 +42,7 @@ def test_run(spark, sf):
     items = [tokens(r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
     kept = quality(rows, outliers.Rules())
     left = [(r.doc_id, r.text) for r in rows if kept[r.doc_id]]
-    groups = near_groups(left)
+    groups = near_groups(left, percent=80)
     left = [(i, t) for i, t in left if groups[i][1] == i]
     left = [(i, redacted(t)) for i, t in left if not any(covers(tokens(t), x) for x in items)]
     with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as lines:
@@ -60,6 +60,27 @@ def test_stages_on_empty_and_odd_rows(spark, sf):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, sf).count() == 0
     odd = spark.createDataFrame([(None, None, None, None, None), (-5, "", "en", None, 0), (3, "a b", None, "s", 3)], docs.schema)
-    for name, stage in corpus_pipeline.STAGES[1:4]:
+    for name, stage in corpus_pipeline.STAGES[1:]:
         assert stage(spark, odd, sf).count() == 3, name
     assert corpus_pipeline.STAGES[0][1](spark, odd, sf).count() == 0
+
+
+def test_duplicates_are_decided_per_row(spark, sf):
+    text = " ".join(f"word{i}" for i in range(80))
+    other = " ".join(f"other{i}" for i in range(80))
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    rows = [(10, text, "en", "a", 1), (10, text, "en", "a", 1), (11, text, "en", "a", 1), (11, other, "en", "a", 1),
+            (None, other, None, None, None), (None, None, "en", "a", 0), (None, None, "en", "a", 0), (12, "", "en", "a", 0)]
+    got = corpus_pipeline.keep_one_of_each(spark, spark.createDataFrame(rows, docs.schema), sf).collect()
+    assert sorted((r.doc_id or -1, r.text or "") for r in got) == [(-1, ""), (-1, ""), (10, text), (11, other), (12, "")]
+
+
+def test_long_texts_and_clashing_columns(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    long = " ".join(f"w{i % 5000}x{i // 5000}" for i in range(120_000))
+    odd = spark.createDataFrame([(1, long, "en", "s", 1, 0, "x", "y"), (2, "a b", "en", "s", 3, 1, None, "y")],
+                                docs.schema.add("kept", "integer").add("spans", "string").add("ids", "string"))
+    for name, stage in corpus_pipeline.STAGES[1:]:
+        got = stage(spark, odd, sf).collect()
+        assert sorted(r.doc_id for r in got) == [1, 2], name
+    assert [r.n_tokens > 120_000 for r in corpus_pipeline.encode(spark, odd, sf).orderBy("doc_id").collect()] == [True, False]
