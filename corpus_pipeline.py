@@ -3,6 +3,10 @@
 Every stage takes (spark, docs, sf_dir) and works on all rows that its predecessor kept.  All but the last return
 the columns of ``documents``.  SQL can express neither the robust estimate nor the sketches, the network or the merges,
 so there is no SQL twin; ``tests/llm/test_pipeline.py`` composes brute-force versions instead.
+
+Null texts count as empty and fall to the base rules; null languages and sources are values of their own; repeated rows and
+rows that share a doc_id are judged row by row; a text of any length is read whole; columns beyond those of ``documents``
+are left behind; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,9 +28,20 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The least doc_id of every group of near-duplicates."""
-    dropped = neardup.near_duplicates(docs).filter("NOT kept").select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(dropped, "doc_id", "left_anti").select(*COLUMNS)
+    """One row of every group of near-duplicates (five words, similarity 0.8): the one with the least doc_id.
+
+    Rows are numbered first and compared as rows, whatever their doc_id: of equal rows one stays, and texts that share
+    a doc_id but are not alike stay both.  Rows without doc_id come after the others; ties go to the row read first.
+    """
+    rows = materialise(docs.select(*COLUMNS).withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    named = rows.select(F.col("_row").alias("doc_id"), "text")
+    groups = materialise(neardup.near_duplicates(named, neardup.Near(percent=80)).select(
+        F.col("doc_id").alias("_row"), F.col("component_id").alias("_group")), "groups")
+    several = groups.filter("_row <> _group").select("_group").distinct()
+    members = materialise(groups.join(several, "_group", "left_semi").join(rows.select("_row", "doc_id"), "_row"), "members")
+    stays = members.groupBy("_group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).getField("_row").alias("_row"))
+    dropped = materialise(members.select("_row").join(stays, "_row", "left_anti"), "dropped")
+    return rows.join(dropped, "_row", "left_anti").select(*COLUMNS)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
