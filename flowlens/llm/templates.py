@@ -9,13 +9,13 @@ words that begin a text, line or sentence are names too.  A template window need
 Meetings of templates are then checked: over all positions that the windows of one alignment cover, equal slot values of the item must
 face equal values of the document, and different ones different ones, but different numbers that have all changed may become
 equal.  Windows that hold a conflicting slot are dropped, verbatim ones too.  An item is found in a document if the
-other windows cover ``coverage`` of its words; it is verbatim if every slot value is the same.
+other windows cover ``coverage`` of its words; it is verbatim if every slot value is the same and no slot conflicts.
 
 The benchmark is the stated query set.  It is taken in blocks of about ``BLOCK_BYTES`` of item text, spread by hash;
 one block's index is broadcast at a time, and every document passes every block.  No shuffle of documents.
 
 Edge cases: an item with fewer tokens than ``width`` is one window of all its tokens; below ``min_tokens`` tokens, or with
-numbers only, a window says nothing and is not used; null and empty texts hold nothing; repeated
+numbers only, an item is found by its words alone, never by a template; null and empty texts hold nothing; repeated
 rows are judged each; empty tables on either side give no hits; other columns pass through, ``hits`` is replaced.
 """
 
@@ -163,7 +163,7 @@ def _windows(tokens: Reading, width: int) -> tuple[np.ndarray, np.ndarray]:
     literals = np.concatenate([[0], np.cumsum(tokens.kind == LITERAL)])
     ends = np.repeat(tokens.first[1:], np.diff(tokens.first))
     at = np.arange(n - width + 1)
-    good = at[(at + width <= ends[: len(at)]) & (literals[width:] - literals[: len(at)] >= max(tokens.least * width, 1))]
+    good = at[(at + width <= ends[: len(at)]) & (literals[width:] - literals[: len(at)] >= tokens.least * width)]
     return good, roller(23).windows(tokens.template, width)[good]
 
 
@@ -180,7 +180,7 @@ def build_index(texts: list[str | None], rule: Rule) -> Index:
     found_by = []
     for reading in tokens.readings:
         sizes, by_width = np.diff(reading.first), {}
-        for width in range(rule.min_tokens, rule.width + 1):
+        for width in range(rule.min_tokens if reading.least else 1, rule.width + 1):
             at, found = _windows(reading, width)
             item = reading.items(at)
             own = sizes[item] == width if width < rule.width else np.ones(len(at), bool)
@@ -255,7 +255,7 @@ def find_items(texts: Texts, index: Index, rule: Rule) -> dict[int, list[tuple[i
             good = np.searchsorted(bad, place) == np.searchsorted(bad, place + width)
             for p, w in zip(place[good], width[good]):
                 covered.setdefault(key, set()).update(range(int(there.word[base + p]), int(there.word[base + p + w])))
-            if (np.searchsorted(other, place[good]) < np.searchsorted(other, (place + width)[good])).any():
+            if len(bad) or (np.searchsorted(other, place[good]) < np.searchsorted(other, (place + width)[good])).any():
                 changed.add(key)
     sizes, out = np.diff(index.tokens.words), {}
     for (t, i), places in sorted(covered.items()):

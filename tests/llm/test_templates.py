@@ -55,8 +55,18 @@ def test_inconsistent_slots_are_no_match():
 
 def test_short_and_empty_items():
     assert hits(["say one small blue bird sings now"], ["small blue bird sings now"]) == {0: [(0, 1.0, True)]}
-    assert hits(["a b c d"], ["a b c d"]) == {}
-    assert hits(["1 2 3 4 5 6 7 8 9 10 11"], ["1 2 3 4 5 6 7 8 9 10 11", None, ""]) == {}
+    assert hits(["so a b c d"], ["a b c d"]) == {0: [(0, 1.0, True)]}
+    assert hits(["Who wrote Moby Dick?"], ["Who wrote Moby Dick?"]) == {0: [(0, 1.0, True)]}
+    assert hits(["Who wrote Anna Karenina?", "a b c"], ["Who wrote Moby Dick?", "a b c d"]) == {}  # no templates of so few words
+    numbers = "1 2 3 4 5 6 7 8 9 10 11"
+    assert hits([numbers, "1 2 3 4 5 6 7 8 9 10 12"], [numbers, None, ""])[0] == [(0, 1.0, True)]
+    assert hits([numbers.replace("1", "2")], [numbers]) == {}
+
+
+def test_a_conflict_is_no_verbatim_copy():
+    item = " ".join(["take 5 apples and put 5 apples back into the big old box near the door", *(f"w{i}" for i in range(20))])
+    found = hits([item.replace("5", "12", 1)], [item])[0]
+    assert found[0][0] == 0 and found[0][1] < 1 and not found[0][2]
 
 
 def test_blocks_and_edge_rows(spark, monkeypatch):
