@@ -11,13 +11,15 @@ from pyspark.sql import functions as F
 from flowlens.functions.columns import instant_clock, utc_instant
 from flowlens.operators.alerts import check_updates
 from flowlens.operators.profile import enrich, fit_profile
+from flowlens.operators.sequence import CONNECTION_COUNTS
 from flowlens.plans import flow_queries
-from flowlens.plans.adapters import ALERTS_SQL, UPDATES_SQL, alerts_of, packets, packets_of, table, updates_of
+from flowlens.plans.adapters import ALERTS_SQL, FLOW_ORDER, UPDATES_SQL, alerts_of, flows, packets, packets_of, table, updates_of
 from flowlens.plans.registry import Registry, r6
 from flowlens.runtime import scratch_path
 from flowlens.schema import flow_schema
 from flowlens.sources.writers import as_messages
 from flowlens.streaming import jobs
+from flowlens.streaming.connections import StreamedConnections
 from flowlens.streaming.ingest import decode_flows, table_stream, text_stream
 
 REG = Registry()
@@ -111,3 +113,18 @@ def _(spark, sf):
     scored = enrich(packets_of(_stream(spark, sf, "lineitem")), learned)
     return (_drain(spark, scored.select("srcip", "dstip", "proto", "sbytes", "sload", "threat_score"))
             .select("srcip", "dstip", "proto", "sbytes", "sload", r6("threat_score")))
+
+
+@REG.add("stream_connection_counts", flow_queries.REG.sql["connection_counts"])
+def _(spark, sf):
+    """Flows that arrive up to four days late, in three deliveries, each taken up by a restarted stream."""
+    keys = sorted({k for columns in CONNECTION_COUNTS.values() for k in columns})
+    rows = flows(spark, sf).select(*dict.fromkeys([*FLOW_ORDER, *keys]))
+    arrival = F.timestamp_seconds(F.col("stime") + F.pmod("stcpb", F.lit(5)) * 86_400)
+    delivery = F.when(F.year(arrival) < 1994, 0).when(F.year(arrival) < 1997, 1).otherwise(2)
+    feed, checkpoint = scratch_path(spark, "feed"), scratch_path(spark, "stream-checkpoint")
+    counts = StreamedConnections(spark, scratch_path(spark, "connections"), F.timestamp_seconds("stime"), FLOW_ORDER, "5 days")
+    for i in range(3):
+        rows.filter(delivery == i).write.mode("append").parquet(feed)
+        counts.start(table_stream(spark, feed, rows.schema), checkpoint, drain=True).awaitTermination()
+    return counts.final().unionByName(counts.waiting()).select("stime", "stcpb", *keys, *CONNECTION_COUNTS)

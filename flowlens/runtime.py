@@ -13,10 +13,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_scratch: dict[str, str] = {}
+_scope: ContextVar[str] = ContextVar("scratch_scope", default="")
 
 
 def get_spark(app_name: str = "flowlens", master: str | None = None, **conf: str) -> SparkSession:
@@ -54,7 +58,7 @@ def scratch_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the scratch folder."""
-    return f"{scratch_home(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{scratch_home(spark)}{_scope.get()}/{name}-{uuid.uuid4().hex}"
 
 
 def scratch_home(spark: SparkSession) -> str:
@@ -63,10 +67,41 @@ def scratch_home(spark: SparkSession) -> str:
     return f"{scratch_dir(spark)}/flowlens" + (f"/{app}" if app else "")
 
 
+def _at(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder and all below it, if it is there."""
+    fs, at = _at(spark, path)
+    fs.delete(at, True)
+
+
+def path_names(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder, in order; none if it is not there."""
+    fs, at = _at(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(at)) if fs.exists(at) else []
+
+
 def release_scratch(spark: SparkSession) -> None:
     """Delete all intermediate tables of this application; results that still read them are lost."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_home(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    delete_path(spark, scratch_home(spark))
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables written inside are deleted at the end, for work that repeats in a long-running application.
+
+    Results must be written to a place of their own before the scope ends.  Scopes may be nested and are kept per thread.
+    """
+    token = _scope.set(f"{_scope.get()}/scope-{uuid.uuid4().hex}")
+    try:
+        yield
+    finally:
+        path = f"{scratch_home(spark)}{_scope.get()}"
+        _scope.reset(token)
+        delete_path(spark, path)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
