@@ -1,7 +1,8 @@
 """Benchmark decontamination by template canonicalisation.
 
-Words become tokens: edge punctuation goes, ASCII letters are lower-cased.  A token that begins with a digit, or is a number word, is
-the slot <number>; a unit after a number is <unit>; a run of capitalised words inside a sentence is one <name>.
+Words become tokens: edge punctuation goes, letters are lower-cased (where that keeps their length in UTF-8).  A token that begins with a
+digit, or is a number word, is the slot <number>; a unit after a number is <unit>; a run of capitalised words of any alphabet inside a
+sentence is one <name>.  Number words and units are those of English, German, French and Spanish.
 Windows of ``width`` tokens are hashed and joined with the windows of the benchmark under three readings: the words
 themselves, so that verbatim windows meet whatever they hold; templates, with slots in place of their values, so
 that a question with other numbers or names still meets its original; and templates in which the capitalised
@@ -11,8 +12,10 @@ face equal values of the document, and different ones different ones, but differ
 equal.  Windows that hold a conflicting slot are dropped, verbatim ones too.  An item is found in a document if the
 other windows cover ``coverage`` of its words; it is verbatim if every slot value is the same and no slot conflicts.
 
-The benchmark is the stated query set.  It is taken in blocks of about ``BLOCK_BYTES`` of item text, spread by hash;
-one block's index is broadcast at a time, and every document passes every block.  No shuffle of documents.
+The benchmark is the stated query set.  It is taken in blocks of about ``BLOCK_BYTES`` of item text, spread by hash.  With one
+block, its index is broadcast and documents pass it as they are read, without a shuffle.  With several, documents are numbered and
+written once; each block is a job of its own that writes the rows it found something in, and its broadcast is given
+up before the next one is made, so one block is held at a time whatever the size of the benchmark.  The hits are then joined to the rows.
 
 Edge cases: an item with fewer tokens than ``width`` is one window of all its tokens; below ``min_tokens`` tokens, or with
 numbers only, an item is found by its words alone, never by a template; null and empty texts hold nothing; repeated
@@ -31,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowlens.llm.arrowtext import LOWER, Texts, Words, mix, parts_of, roller, texts_of, words_of
+from flowlens.runtime import materialise, scratch_path
 
 BLOCK_BYTES = 8 << 20
 LITERAL, NUMBER, NAME, UNIT = range(4)
@@ -39,19 +43,30 @@ SLOT = mix(np.arange(1, 5, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))  #
 UNITS = """mm cm m km in ft yd mi inch inches foot feet yard yards mile miles meter meters metre metres kilometer kilometers
 g kg mg lb lbs oz gram grams kilogram kilograms pound pounds ounce ounces ton tons l ml liter liters litre litres gallon gallons
 s ms sec second seconds min minute minutes h hr hour hours day days week weeks month months year years
-dollar dollars cent cents euro euros percent degree degrees hz khz mhz ghz w kw v a kb mb gb tb""".split()
+dollar dollars cent cents euro euros percent degree degrees hz khz mhz ghz w kw v a kb mb gb tb
+zoll fuß meile meilen kilometern gramm kilogramm pfund tonne tonnen sekunde sekunden minuten stunde stunden tag tage tagen woche wochen
+monat monate monaten jahr jahre jahren prozent grad
+pouce pouces pied pieds mètre mètres kilomètre kilomètres gramme grammes kilogramme kilogrammes livre livres tonnes seconde secondes
+heure heures jour jours semaine semaines mois an ans année années degré degrés
+pulgada pulgadas pie pies milla millas metro metros kilómetro kilómetros gramo gramos kilogramo kilogramos libra libras litro litros
+segundo segundos minuto minutos hora horas día días semana semanas mes meses año años grado grados""".split()
 NUMBER_WORDS = """zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen
-eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion""".split()
+eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion
+zwei drei vier fünf sechs sieben acht neun zehn zwölf dreizehn vierzehn fünfzehn sechzehn siebzehn achtzehn neunzehn zwanzig
+dreißig vierzig fünfzig sechzig siebzig achtzig neunzig hundert tausend millionen
+deux trois quatre cinq sept huit neuf dix onze douze treize quatorze quinze seize vingt trente quarante cinquante soixante mille millions
+dos tres cuatro cinco seis siete ocho nueve diez doce trece catorce quince dieciséis diecisiete dieciocho diecinueve veinte treinta
+cuarenta cincuenta sesenta setenta ochenta noventa cien ciento mil millón millones""".split()
 
 PUNCTUATION = np.zeros(256, bool)
 PUNCTUATION[[b for b in range(33, 127) if not chr(b).isalnum()]] = True
 DIGIT = np.zeros(256, bool)
 DIGIT[48:58] = True
-UPPER = np.zeros(256, bool)
-UPPER[65:91] = True
+UPPER = np.array([chr(c).isupper() or chr(c).istitle() for c in range(1 << 16)])  # by code point
 STOP = np.zeros(256, bool)
 STOP[[ord(c) for c in ".!?:;"]] = True
 CLOSING = [c.encode() for c in "”’»"]
+SMALL = np.array([ord(low) if len(low := chr(c).lower()) == 1 and 0x80 <= ord(low) < 0x800 else c for c in range(0x800)])  # two bytes each
 
 
 @dataclass(frozen=True)
@@ -100,6 +115,22 @@ def _among(values: np.ndarray, listed: np.ndarray) -> np.ndarray:
     return listed[np.minimum(np.searchsorted(listed, values), len(listed) - 1)] == values
 
 
+def _lowered(data: np.ndarray) -> np.ndarray:
+    """UTF-8 bytes with capitals of one and two bytes as small letters; every letter keeps its place."""
+    small = LOWER[data]
+    lead = np.flatnonzero((data[:-1] >= 0xC2) & (data[:-1] < 0xE0))
+    point = SMALL[(data[lead].astype(np.int64) & 31) << 6 | data[lead + 1] & 63]
+    small[lead], small[lead + 1] = 0xC0 | point >> 6, 0x80 | point & 63
+    return small
+
+
+def _capital(data: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Whether a capital letter of up to three bytes stands at each place."""
+    a, b, c = (data[np.minimum(start + k, len(data) - 1)].astype(np.int64) for k in range(3))
+    point = np.where(a < 0x80, a, np.where(a < 0xE0, (a & 31) << 6 | b & 63, (a & 15) << 12 | (b & 63) << 6 | c & 63))
+    return UPPER[point] & (a < 0xF0)
+
+
 def _template(value: np.ndarray, kind: np.ndarray, owner: np.ndarray, n: int, rule: Rule) -> Reading:
     """Tokens with slots; a run of name words is one token."""
     kind = kind.copy()
@@ -128,13 +159,14 @@ def canonical(texts: Texts, rule: Rule = Rule()) -> Tokens:
     real = (start >= words.start) & (start < words.end)
     opens = _opens(data, words, owner, np.where(real, end, words.start))
     start, end, owner, opens = start[real], end[real], owner[real], opens[real]
-    value = roller(21).spans(roller(21).letters[LOWER[data]], start, end)
+    value = roller(21).spans(roller(21).letters[_lowered(data)], start, end)
     head = data[start] if len(start) else np.empty(0, np.uint8)
     number = DIGIT[head] | _among(value, _known("numbers", NUMBER_WORDS))
     first = np.searchsorted(owner, np.arange(len(texts) + 1))
     plain = Reading(value, value, np.where(number, NUMBER, LITERAL), np.arange(len(value) + 1), first, 0)
-    inside = np.where(number, NUMBER, np.where(UPPER[head] & ~opens, NAME, LITERAL))
-    anywhere = np.where(number, NUMBER, np.where(UPPER[head], NAME, LITERAL))
+    capital = _capital(data, start)
+    inside = np.where(number, NUMBER, np.where(capital & ~opens, NAME, LITERAL))
+    anywhere = np.where(number, NUMBER, np.where(capital, NAME, LITERAL))
     return Tokens(first, [plain, *[_template(value, kind, owner, len(texts), rule) for kind in (inside, anywhere)]])
 
 
@@ -266,6 +298,7 @@ def find_items(texts: Texts, index: Index, rule: Rule) -> dict[int, list[tuple[i
 
 HIT = T.ArrayType(T.StructType([T.StructField("item_id", T.LongType()), T.StructField("coverage", T.DoubleType()),
                                 T.StructField("verbatim", T.BooleanType())]))
+ARROW_HITS = pa.list_(pa.struct([("item_id", pa.int64()), ("coverage", pa.float64()), ("verbatim", pa.bool_())]))
 
 
 def _blocks(items: DataFrame) -> Iterator[tuple[list[int | None], list[str | None]]]:
@@ -278,28 +311,54 @@ def _blocks(items: DataFrame) -> Iterator[tuple[list[int | None], list[str | Non
         yield [r.item_id for r in rows], [r.text for r in rows]
 
 
+def _blocks_of_hits(rows: DataFrame, key: str, text: str, items: DataFrame, rule: Rule) -> DataFrame:
+    """``key`` and hits of the rows that hold an item; every block of items is a job, and is given up after it."""
+    schema = T.StructType([rows.schema[key], T.StructField("hits", HIT)])
+    path = scratch_path(rows.sparkSession, "hits")
+    for ids, texts in _blocks(items):
+        index = rows.sparkSession.sparkContext.broadcast(build_index(texts, rule))
+
+        def work(batches: Iterable[pa.RecordBatch], ids=ids, index=index) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for part, block in parts_of(batch, 1):
+                    found = find_items(block, index.value, rule)
+                    places = pa.array(list(found), pa.int64())
+                    yield pa.RecordBatch.from_arrays([part.column(0).take(places), _as_hits(found.values(), ids)], names=[key, "hits"])
+
+        rows.select(key, text).mapInArrow(work, schema).write.mode("append").parquet(path)
+        index.destroy()
+    hits = rows.sparkSession.read.schema(schema).parquet(path)
+    return materialise(hits.groupBy(key).agg(F.array_sort(F.flatten(F.collect_list("hits"))).alias("hits")), "hits-by-row")
+
+
+def _as_hits(found: Iterable[list[tuple[int, float, bool]]], ids: list[int | None]) -> pa.Array:
+    return pa.array([[{"item_id": ids[i], "coverage": c, "verbatim": v} for i, c, v in hits] for hits in found], ARROW_HITS)
+
+
 def find_contamination(docs: DataFrame, items: DataFrame, rule: Rule = Rule(), text: str = "text") -> DataFrame:
     """``docs`` with ``hits``: the benchmark items (item_id, text) found in each document."""
     docs = docs.drop("hits") if "hits" in docs.columns else docs
+    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    if size == 0:
+        return docs.withColumn("hits", F.array().cast(HIT))
+    if size > BLOCK_BYTES:
+        key = "_row"
+        while key in docs.columns:
+            key = f"_{key}"
+        rows = materialise(docs.withColumn(key, F.monotonically_increasing_id()), "numbered")
+        hits = _blocks_of_hits(rows, key, text, items, rule)
+        return rows.join(hits, key, "left").withColumn("hits", F.coalesce("hits", F.array().cast(HIT))).drop(key)
     names = [*docs.columns, "hits"]
     at = names.index(text)
     schema = T.StructType([*docs.schema.fields, T.StructField("hits", HIT)])
-    arrow = pa.list_(pa.struct([("item_id", pa.int64()), ("coverage", pa.float64()), ("verbatim", pa.bool_())]))
-    docs = docs.withColumn("hits", F.array().cast(HIT))
-    for ids, texts in _blocks(items):
-        index = docs.sparkSession.sparkContext.broadcast(build_index(texts, rule))
+    ids, texts = next(_blocks(items))
+    index = docs.sparkSession.sparkContext.broadcast(build_index(texts, rule))
 
-        def work(batches: Iterable[pa.RecordBatch], ids=ids, index=index) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for part, block in parts_of(batch, at):
-                    found = find_items(block, index.value, rule)
-                    hits = part.column(len(names) - 1)
-                    if found:
-                        rows = hits.to_pylist()
-                        for t, more in found.items():
-                            rows[t] = rows[t] + [{"item_id": ids[i], "coverage": c, "verbatim": v} for i, c, v in more]
-                        hits = pa.array(rows, arrow)
-                    yield pa.RecordBatch.from_arrays([*part.columns[:-1], hits.cast(arrow)], names=names)
-
-        docs = docs.mapInArrow(work, schema)
-    return docs
+    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, block in parts_of(batch, at):
+                found = find_items(block, index.value, rule)
+                hits = _as_hits((found.get(t, []) for t in range(part.num_rows)), ids)
+                yield pa.RecordBatch.from_arrays([*part.columns, hits], names=names)
+
+    return docs.mapInArrow(work, schema)

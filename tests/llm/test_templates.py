@@ -1,5 +1,6 @@
 """Decontamination against a plain search for planted passages, and re-parameterised questions."""
 
+import random
 import re
 
 import pyarrow as pa
@@ -76,6 +77,10 @@ def test_blocks_and_edge_rows(spark, monkeypatch):
     out = t.find_contamination(spark.createDataFrame(rows, "doc_id long, text string, hits string"), items)
     assert sorted((r.doc_id, [h.item_id for h in r.hits]) for r in out.collect() if r.text and r.hits) == [(i, [i]) for i in range(12)]
     assert out.count() == 15
+    # several blocks leave one pass over stored rows: none is stacked on another, and a column named as the row number stays
+    assert "MapInArrow" not in out._jdf.queryExecution().toString()
+    clash = t.find_contamination(spark.createDataFrame([(*r[:2], "k") for r in rows], "doc_id long, text string, _row string"), items)
+    assert {r._row for r in clash.collect()} == {"k"} and clash.columns == ["doc_id", "text", "_row", "hits"]
     assert t.find_contamination(out.limit(0), items).count() == 0
     assert t.find_contamination(out, items.limit(0)).filter("size(hits) > 0").count() == 0
 
@@ -113,3 +118,37 @@ def test_a_conflict_drops_only_its_windows():
     assert found[0][0][0] == 0 and 0.9 < found[0][0][1] < 1
     item = "take 12 of them and put 5 of them back into the big old box"
     assert hits([item.replace("12", "7").replace("5", "7")], [item]) == {0: [(0, 1.0, False)]}
+
+
+def test_blocks_find_what_one_block_finds(spark, sf, monkeypatch):
+    docs, items = (spark.read.parquet(f"{sf}/{n}.parquet") for n in ("documents", "benchmark"))
+    whole = {r.doc_id: sorted(r.hits) for r in t.find_contamination(docs, items).select("doc_id", "hits").collect()}
+    monkeypatch.setattr(t, "BLOCK_BYTES", (items.selectExpr("sum(octet_length(text))").first()[0] + 2) // 3)
+    assert {r.doc_id: sorted(r.hits) for r in t.find_contamination(docs, items).select("doc_id", "hits").collect()} == whole
+    assert any(whole.values())
+
+
+def test_words_against_a_plain_search():
+    rng = random.Random(3)
+    word = lambda: rng.choice("ab cd ef gh ij".split())
+    items = [[word() for _ in range(rng.choice([1, 2, 3, 6, 9]))] for _ in range(60)]
+    docs = [[word() for _ in range(rng.randrange(30))] for _ in range(60)]
+    got = hits([" ".join(d) for d in docs], [" ".join(i) for i in items], width=4)
+    for d, doc in enumerate(docs):
+        wanted = []
+        for i, item in enumerate(items):
+            w, covered = min(4, len(item)), set()
+            for p in range(len(item) - w + 1):
+                if any(doc[q: q + w] == item[p: p + w] for q in range(len(doc) - w + 1)):
+                    covered.update(range(p, p + w))
+            if 2 * len(covered) >= len(item):
+                wanted.append((i, len(covered) / len(item), True))
+        assert got.get(d, []) == wanted
+
+
+def test_names_numbers_and_units_of_other_languages():
+    item = "Im Laden kauft Élodie zwölf rote Äpfel und gibt danach fünf davon an Zoë weiter und läuft dann drei Stunden nach Hause zurück"
+    other = item.replace("Élodie", "Ödön").replace("Zoë", "Łukasz").replace("zwölf", "zwanzig").replace("fünf", "sieben")
+    assert hits([f"Vorweg. {other}"], [item])[0][0][1:] == (1.0, False)
+    assert hits([item.upper()], [item]) == {0: [(0, 1.0, True)]}
+    assert hits([item.replace("Äpfel", "äpfel")], [item]) == {0: [(0, 1.0, True)]}
