@@ -24,8 +24,9 @@ from flowlens.operators.encode import category_codes
 from flowlens.operators.evaluate import metrics_document
 from flowlens.operators.profile import PROFILE_KEYS, TrafficProfile, enrich, fit_profile
 from flowlens.operators.split import chronological_split, split_counts
-from flowlens.runtime import get_spark, materialise
+from flowlens.runtime import get_spark, materialise, scratch_scope
 from flowlens.schema import CATEGORICAL_FEATURES, flow_schema
+from flowlens.sources.alert_store import AlertStore
 from flowlens.sources.readers import read_flows, read_table
 from flowlens.sources.writers import write_alerts, write_json_document, write_table
 from flowlens.streaming import jobs as streams
@@ -104,28 +105,35 @@ def alerts_by_message(messages: DataFrame, detector: Detector, profile: TrafficP
 
 
 def watch(messages: DataFrame, detector: Detector, profile: TrafficProfile, alerts: str, checkpoint: str,
-          drain: bool = False) -> StreamingQuery:
+          drain: bool = False, known_days: int | None = None) -> StreamingQuery:
     """Write an alert for every attack in a message stream, every five seconds or until drained.
 
     A message delivered again within the watermark is dropped.  Per micro-batch the
     store gets its alerts, ``<alerts>_rejects`` the messages that can not be read, and
     ``<alerts>_counts`` the numbers of records and attacks; a replayed batch replaces all
-    three.
+    three.  With ``known_days`` the alerts go to an ``AlertStore``, where they can be updated and followed, and an alert
+    that is stored already in one of the newest so many days is not added again, however late its message comes back;
+    the counts still tell of every message taken in.  The intermediate tables of a batch are deleted after it.
     """
+    store = None if known_days is None else AlertStore(messages.sparkSession, alerts)
     place = [F.col(c).cast("string") for c in PLACE if c in messages.columns]
     told = messages.select(
         F.col("value").cast("string").alias("value"), F.current_timestamp().alias("arrived"),
         F.sha2(F.concat_ws("\n", *place) if place else F.coalesce(F.col("value").cast("string"), F.lit("")), 256).alias(MESSAGE))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        stored = materialise(batch, "messages")
-        good, bad = split_rejects(stored)
-        scored, found = alerts_by_message(good, detector, profile, stored.agg(F.max("arrived")).scalar())
-        name = f"stream-{batch_id}"
-        write_alerts(found, alerts, name)
-        write_alerts(bad.select("value", F.col("arrived").alias("timestamp")), f"{alerts}_rejects", name)
-        counts = detection_counts(scored.withColumn("batch_id", F.lit(batch_id)), flag="predicted_attack")
-        counts.write.mode("overwrite").parquet(f"{alerts}_counts/batch={batch_id}")
+        with scratch_scope(batch.sparkSession):
+            stored = materialise(batch, "messages")
+            good, bad = split_rejects(stored)
+            scored, found = alerts_by_message(good, detector, profile, stored.agg(F.max("arrived")).scalar())
+            name = f"stream-{batch_id}"
+            if store:
+                store.append(found, name, known_days)
+            else:
+                write_alerts(found, alerts, name)
+            write_alerts(bad.select("value", F.col("arrived").alias("timestamp")), f"{alerts}_rejects", name)
+            counts = detection_counts(scored.withColumn("batch_id", F.lit(batch_id)), flag="predicted_attack")
+            counts.write.mode("overwrite").parquet(f"{alerts}_counts/batch={batch_id}")
 
     fresh = streams.without_redelivery(told, "arrived", [MESSAGE])
     writer = fresh.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
@@ -150,6 +158,7 @@ def main() -> None:
     for name in ("data", "model", "servers", "topic", "alerts", "checkpoint"):
         look.add_argument(f"--{name}", required=True)
     look.add_argument("--starting", choices=["latest", "earliest"], default="latest")
+    look.add_argument("--known-days", type=int, help="keep alerts in a store, without those it has had in so many days")
     args = parser.parse_args()
 
     spark = get_spark(f"flowlens-{args.command}")
@@ -159,7 +168,7 @@ def main() -> None:
         train_detector(spark, args.data, args.model, args.kind, args.cap_per_class).show()
     else:
         watch(topic_stream(spark, args.servers, args.topic, args.starting), load_detector(f"{args.model}/pipeline"),
-              read_profile(spark, args.data), args.alerts, args.checkpoint).awaitTermination()
+              read_profile(spark, args.data), args.alerts, args.checkpoint, known_days=args.known_days).awaitTermination()
 
 
 if __name__ == "__main__":
