@@ -5,17 +5,17 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from flowlens.functions.columns import (
-    attack_name, bytes_ratio, handshake_time, is_attack, same_endpoint, utc_clock,
+    attack_name, bytes_ratio, handshake_time, is_attack, same_endpoint, to_double, to_int, utc_clock,
 )
 from flowlens.operators import daily, explore, graph, growing_graph, profile, sequence, split
-from flowlens.operators.clean import clean_flows
+from flowlens.operators.clean import clean_flows, lower_names
 from flowlens.operators.encode import category_codes, encode
 from flowlens.operators.sampling import class_weights, sample_by_hash, undersample, with_class_weights
 from flowlens.plans.adapters import FLOW_ORDER, FLOWS_SQL, PACKETS_SQL, flows, named_flows, packets, table
 from flowlens.plans.registry import Registry, r6
-from flowlens.runtime import scratch_path
+from flowlens.runtime import materialise, scratch_path
 from flowlens.schema import PROFILE_MEASURES, flow_schema
-from flowlens.sources.readers import read_flows, read_partition
+from flowlens.sources.readers import read_flows, read_named_csv, read_partition
 from flowlens.sources.writers import as_messages, write_table
 from flowlens.streaming.ingest import decode_json
 
@@ -535,3 +535,36 @@ def _(spark, sf):
 @REG.add("flows_to_json")
 def _(spark, sf):
     return as_messages(_in_layout(spark, sf).select(*_LAYOUT))
+
+
+@REG.add("messages_in_order", PACKETS + " SELECT row_number() OVER (ORDER BY stime) AS place, stime FROM packets")
+def _(spark, sf):
+    """The time of the n-th message: messages of several tasks stand in time order."""
+    sent = as_messages(packets(spark, sf)).withColumn("_sent", F.monotonically_increasing_id())
+    placed = sequence.dense_index(materialise(sent, "sent"), ["_sent"], "place", unique=True)
+    return placed.select("place", F.get_json_object("value", "$.stime").cast("long").alias("stime"))
+
+
+_NAMED = ["srcip", "dstip", "sport", "stcpb", "stime", "proto"]
+
+
+@REG.add("named_csv_roundtrip", PACKETS + """
+ SELECT srcip, dstip, CAST(sport AS INT) AS sport, CAST(stcpb AS INT) AS stcpb, CAST(stime AS INT) AS stime, proto FROM packets""")
+def _(spark, sf):
+    """A CSV without header, named by a description table; types are inferred."""
+    path = scratch_path(spark, "named-csv")
+    packets(spark, sf).select(*_NAMED).write.csv(path, header=False)
+    names = spark.createDataFrame([(i + 1, f" {n.upper()} ") for i, n in enumerate(_NAMED)], "`No.` int, Name string")
+    return lower_names(read_named_csv(spark, path, names))
+
+
+@REG.add("free_form_numbers", """
+WITH told AS (SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN ' ' || o_custkey || ' ' WHEN 1 THEN '' WHEN 2 THEN o_orderpriority
+              WHEN 3 THEN '-' ELSE o_orderstatus END AS value FROM orders)
+ SELECT o_orderkey, TRY_CAST(value AS INT) AS as_int, coalesce(TRY_CAST(value AS DOUBLE), 0.0) AS as_double FROM told""")
+def _(spark, sf):
+    """Numbers between blanks, empty cells and text."""
+    place = F.pmod("o_orderkey", F.lit(5))
+    value = (F.when(place == 0, F.concat(F.lit(" "), "o_custkey", F.lit(" "))).when(place == 1, "")
+             .when(place == 2, F.col("o_orderpriority")).when(place == 3, "-").otherwise(F.col("o_orderstatus")))
+    return table(spark, sf, "orders").select("o_orderkey", to_int(value).alias("as_int"), to_double(value).alias("as_double"))
