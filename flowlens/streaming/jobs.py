@@ -7,6 +7,7 @@ shared storage.
 
 from __future__ import annotations
 
+import json
 import threading
 from collections.abc import Callable
 
@@ -44,11 +45,11 @@ def running_category_counts(alerts: DataFrame) -> DataFrame:
         F.count("*").alias("n"), F.count_if(F.col("status") == "pending").alias("pending"))
 
 
-ALERT_STATE = "seen boolean, attack_cat string, status string, updated long, update_status string"
+ALERT_STATE = "alerts string"
 CHANGES = "attack_cat string, n long, pending long"
 
 
-def alert_changes(events: DataFrame, keep: str = "24 hours") -> DataFrame:
+def alert_changes(events: DataFrame, keep: str = "24 hours", buckets: int = 4096) -> DataFrame:
     """What every alert or update adds to the counts of its class: rows (attack_cat, n, pending) of +1 and -1.
 
     ``events`` has id, attack_cat, status, at (a time) and is_update.  Keyed state holds the class and the last status of
@@ -56,33 +57,57 @@ def alert_changes(events: DataFrame, keep: str = "24 hours") -> DataFrame:
     nothing.  Of several updates the latest counts (then the greater status), in whatever order they come; an update that
     comes before its alert waits for it.  Events more than ``keep`` behind the newest are late and have no effect; the state
     of a handled alert is dropped that long after its last event.
+
+    A call per alert costs far more than its rows, so alerts share a call and a state by the hash of their id.  A
+    checkpoint belongs to one number of ``buckets``.
     """
     wait = int(pd.Timedelta(keep).total_seconds() * 1000)
 
+    def standing(seen, category, status, updated, changed, until):
+        return bool(seen), bool(seen) and (changed or status) == "pending"
+
     def step(key, batches, state):
-        if state.hasTimedOut:
-            state.remove()
-            return
-        seen, category, status, updated, changed = state.get if state.exists else (False, None, None, None, None)
-        before = (bool(seen), bool(seen) and (changed or status) == "pending")
-        newest = 0
-        for rows in batches:
-            for cat, new, order, is_update in zip(rows["attack_cat"], rows["status"], rows["_order"], rows["is_update"]):
-                newest = max(newest, int(order))
+        # id: seen, class, first status, time and status of the last update, when it is dropped
+        alerts = {a[0]: a[1:] for a in json.loads(state.get[0])} if state.exists else {}
+        watermark = state.getCurrentWatermarkMs()
+        before, newest = {}, {}
+        for rows in () if state.hasTimedOut else batches:
+            columns = (rows[c].tolist() for c in ("id", "attack_cat", "status", "_order", "is_update"))
+            for id_, cat, new, order, is_update in zip(*columns):
+                now = alerts.get(id_, (False, None, None, None, None, None))
+                seen, category, status, updated, changed, until = now
+                if id_ not in before:
+                    before[id_] = standing(*now)
+                newest[id_] = max(newest.get(id_, 0), order)
+                new = None if pd.isna(new) else new
                 if is_update:
-                    if updated is None or (int(order), new) > (updated, changed):
-                        updated, changed = int(order), new
+                    if updated is None or (order, new or "") > (updated, changed or ""):
+                        updated, changed = order, new
                 elif not seen:
-                    seen, category, status = True, None if pd.isna(cat) else cat, None if pd.isna(new) else new
-        now = (bool(seen), bool(seen) and (changed or status) == "pending")
-        state.update((seen, category, status, updated, changed))
-        if seen and not now[1]:
-            state.setTimeoutTimestamp(max(state.getCurrentWatermarkMs(), newest // 1000) + wait)
-        if now != before:
-            yield pd.DataFrame({"attack_cat": [category], "n": [now[0] - before[0]], "pending": [int(now[1]) - int(before[1])]})
-
-    ordered = events.withWatermark("at", keep).withColumn("_order", F.coalesce(F.unix_micros("at"), F.lit(0)))
-    return ordered.groupBy("id").applyInPandasWithState(step, CHANGES, ALERT_STATE, "append", GroupStateTimeout.EventTimeTimeout)
+                    seen, category, status = True, None if pd.isna(cat) else cat, new
+                alerts[id_] = (seen, category, status, updated, changed, until)
+        said = []
+        for id_, (was_seen, was_pending) in before.items():
+            seen, pending = standing(*alerts[id_])
+            # every event starts the time anew; what is pending or waits for its alert stays
+            until = max(watermark, newest[id_] // 1000) + wait if seen and not pending else None
+            alerts[id_] = (*alerts[id_][:5], until)
+            if (seen, pending) != (was_seen, was_pending):
+                said.append((alerts[id_][1], seen - was_seen, pending - was_pending))
+        alerts = {i: a for i, a in alerts.items() if a[5] is None or a[5] >= watermark}
+        if alerts:
+            state.update((json.dumps([(i, *a) for i, a in alerts.items()]),))
+            ends = [a[5] for a in alerts.values() if a[5] is not None]
+            if ends:
+                state.setTimeoutTimestamp(max(min(ends), watermark + 1))
+        elif state.exists:
+            state.remove()
+        if said:
+            yield pd.DataFrame(said, columns=["attack_cat", "n", "pending"])
+
+    ordered = events.withWatermark("at", keep).withColumns({
+        "_order": F.coalesce(F.unix_micros("at"), F.lit(0)), "_bucket": F.pmod(F.xxhash64("id"), F.lit(buckets))})
+    return ordered.groupBy("_bucket").applyInPandasWithState(step, CHANGES, ALERT_STATE, "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def sum_of_batch(changes: DataFrame) -> DataFrame:
