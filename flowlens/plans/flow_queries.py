@@ -541,8 +541,9 @@ def _(spark, sf):
 def _(spark, sf):
     """The time of the n-th message: messages of several tasks stand in time order."""
     sent = as_messages(packets(spark, sf)).withColumn("_sent", F.monotonically_increasing_id())
-    placed = sequence.dense_index(materialise(sent, "sent"), ["_sent"], "place", unique=True)
-    return placed.select("place", F.get_json_object("value", "$.stime").cast("long").alias("stime"))
+    # the messages are read where they lie; only place and time are moved
+    read = materialise(sent, "sent").select("_sent", F.get_json_object("value", "$.stime").cast("long").alias("stime"))
+    return sequence.dense_index(read, ["_sent"], "place", unique=True).select("place", "stime")
 
 
 _NAMED = ["srcip", "dstip", "sport", "stcpb", "stime", "proto"]
