@@ -14,6 +14,8 @@ from flowlens.runtime import materialise
 
 # monotonically_increasing_id() is (range << 33) + position inside the range
 _POSITION_BITS = 33
+# rows that one task sorts; larger tables get more ranges than the session's shuffle partitions
+ROWS_PER_TASK = 250_000
 
 
 def with_tie_break(df: DataFrame) -> DataFrame:
@@ -26,7 +28,14 @@ def with_tie_break(df: DataFrame) -> DataFrame:
     return materialise(df.withColumn("_tie", F.monotonically_increasing_id()), "numbered")
 
 
-def _range_sorted(df: DataFrame, order: list[Column], unique: bool) -> DataFrame:
+def _more_tasks(rows: DataFrame) -> list[int]:
+    """The number of partitions a stored table needs, if the usual ones would hold more than ``ROWS_PER_TASK`` rows each."""
+    usual = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    wanted = -(-rows.count() // ROWS_PER_TASK)
+    return [wanted] if wanted > usual else []
+
+
+def _range_sorted(df: DataFrame, order: list[Column], unique: bool, tasks: list[int] | None = None) -> DataFrame:
     """Rows in ranges of ``order``, each with its range ``_part`` and place ``_pos``.
 
     Written once, because the ranges are drawn from a sample and the second
@@ -34,8 +43,10 @@ def _range_sorted(df: DataFrame, order: list[Column], unique: bool) -> DataFrame
     """
     source = df if unique else with_tie_break(df)
     keys = order if unique else [*order, F.col("_tie")]
+    if tasks is None:
+        tasks = [] if unique else _more_tasks(source)
     placed = (
-        source.repartitionByRange(*keys)
+        source.repartitionByRange(*tasks, *keys)
         .sortWithinPartitions(*keys)
         .drop("_tie")
         .withColumn("_mid", F.monotonically_increasing_id())
@@ -56,16 +67,18 @@ def _earlier(totals: DataFrame, names: list[str]) -> DataFrame:
     )
 
 
-def dense_index(df: DataFrame, order: list[Column | str], name: str = "seq", unique: bool = False) -> DataFrame:
+def dense_index(df: DataFrame, order: list[Column | str], name: str = "seq", unique: bool = False,
+                tasks: list[int] | None = None) -> DataFrame:
     """Row numbers 1, 2, 3, … in ``order`` over the whole table.
 
     Rows that tie in ``order`` are numbered in any order and may be spread over
-    several tasks.  ``unique`` says that no rows tie, which saves a write.
+    several tasks.  ``unique`` says that no rows tie, which saves a write; ``tasks`` may
+    name a number of ranges.
     """
     keys = [F.col(c) if isinstance(c, str) else c for c in order]
-    placed = _range_sorted(df, keys, unique)
+    placed = _range_sorted(df, keys, unique, tasks)
     sizes = placed.groupBy("_part").agg(F.count("*").alias("n"))
-    # bounded: one row per range, never more than the shuffle partitions
+    # bounded: one row per range
     offsets = F.broadcast(_earlier(sizes, ["n"]))
     return (
         placed.join(offsets, "_part")
@@ -78,7 +91,7 @@ def running_sums(df: DataFrame, order: list[Column], sums: dict[str, str], uniqu
     """Inclusive running sums ``{new: column}`` in ``order`` over the whole table."""
     placed = _range_sorted(df, order, unique)
     totals = placed.groupBy("_part").agg(*[F.sum(c).alias(n) for n, c in sums.items()])
-    # bounded: one row per range, never more than the shuffle partitions
+    # bounded: one row per range
     offsets = F.broadcast(_earlier(totals, list(sums)))
     inside = (
         Window.partitionBy("_part").orderBy("_pos")
@@ -120,13 +133,16 @@ def connection_counts(
     filling one task.
     """
     wanted = features or list(CONNECTION_COUNTS)
-    numbered = dense_index(flows, order, "_seq")
+    stored = with_tie_break(flows)
+    # a task sorts its rows once per feature: its memory is bounded by rows, however large the table
+    tasks = _more_tasks(stored)
+    numbered = dense_index(stored, [*order, "_tie"], "_seq", unique=True, tasks=tasks)
     home = F.floor((F.col("_seq") - 1) / block_rows).cast("long")
     reach = F.floor((F.col("_seq") - 1 + last - 1) / block_rows).cast("long")
     blocked = (
         numbered.withColumn("_home", home)
         .withColumn("_block", F.explode(F.sequence("_home", reach)))
-        .repartition("_block")
+        .repartition(*tasks, "_block")
     )
     counted = blocked.withColumns({
         name: F.count("*").over(
