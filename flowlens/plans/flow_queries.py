@@ -522,7 +522,7 @@ def _in_layout(spark, sf):
 @REG.add("flows_csv_roundtrip", _LAYOUT_SQL.format(cat="nullif(trim(attack_cat), '')"))
 def _(spark, sf):
     path = scratch_path(spark, "flows-csv")
-    _in_layout(spark, sf).write.csv(path, header=False)
+    _in_layout(spark, sf).write.csv(path, header=False, compression="gzip")
     back = read_flows(spark, path).withColumn("attack_cat", F.nullif(F.trim("attack_cat"), F.lit("")))
     return back.select(*_LAYOUT)
 
