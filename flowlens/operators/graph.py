@@ -6,16 +6,22 @@ A hub may touch a third of all edges, so joins on a vertex go through
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from itertools import count
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from flowlens.operators.clean import with_endpoints
 from flowlens.runtime import materialise
 
 ROWS_PER_SPLIT = 1_000_000
 MOST_HUBS = 10_000
+ROWS_PER_TASK = 250_000
 
 
 def graph_edges(flows: DataFrame) -> DataFrame:
@@ -82,20 +88,88 @@ def _neighbourhoods(links: DataFrame) -> DataFrame:
         F.sum(1 - F.col("below")).alias("n_above"))
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 100,
-                         rows_per_split: int = ROWS_PER_SPLIT) -> DataFrame:
+def _least_labels(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """Per vertex 0 .. n - 1 the least vertex that the edges (a, b) connect it with."""
+    label = np.arange(n)
+    while len(a):
+        np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
+        while True:
+            up = label[label]
+            if (up == label).all():
+                break
+            label = up
+        a, b = label[a], label[b]
+        a, b = a[a != b], b[a != b]
+    return label
+
+
+def _stars(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    """Every end of the pairs in ``batches`` with the least vertex they connect it with."""
+    n = sum(len(batch) for batch in batches)
+    ends = pa.concat_arrays([batch.column(c) for c in ("hi", "lo") for batch in batches]).dictionary_encode()
+    order = pc.array_sort_indices(ends.dictionary)  # by bytes, as Spark compares text
+    place = np.empty(len(order), np.int64)
+    place[order.to_numpy()] = np.arange(len(order))
+    code = place[ends.indices.to_numpy()]
+    names = ends.dictionary.take(order)
+    return pa.RecordBatch.from_arrays([names, names.take(pa.array(_least_labels(code[:n], code[n:], len(names))))], names=["id", "root"])
+
+
+def _stars_of_ranges(pairs: DataFrame, rows_per_task: int) -> DataFrame:
+    """(id, root): per range of pairs, each vertex and the least one that the pairs of the range connect it with.
+
+    A task holds at most about ``rows_per_task`` pairs at once, whatever the ranges hold.
+    """
+    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if held and sum(len(h) for h in held) + len(batch) > 2 * rows_per_task:
+                yield _stars(held)
+                held = []
+            held.append(batch)
+        if held:
+            yield _stars(held)
+
+    tasks = max(1, -(-pairs.count() // rows_per_task))
+    kind = pairs.schema["hi"].dataType
+    made = StructType([StructField("id", kind), StructField("root", kind)])
+    return materialise(pairs.repartitionByRange(tasks, "lo", "hi").mapInArrow(work, made), "stars")
+
+
+def connected_components(edges: DataFrame, max_rounds: int = 100, rows_per_split: int = ROWS_PER_SPLIT,
+                         rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """(id, component) with the least address of the component as its name.
 
+    Pairs are cut into ranges of their names and each task reduces its range to stars.  Addresses with
+    a common beginning (a net, a day) lie in one range, so where they talk to each other mostly only few
+    vertices stand in several stars.  The least addresses of those stars are linked and the links, far fewer
+    than the pairs then, joined by alternating steps; without such a beginning they are no more than the pairs.
+    """
+    pairs = materialise(
+        edges.filter("src is not null and dst is not null")
+        .select(F.greatest("src", "dst").alias("hi"), F.least("src", "dst").alias("lo")).distinct(), "pairs")
+    stars = _stars_of_ranges(pairs, rows_per_task)
+    named = materialise(stars.groupBy("id").agg(F.min("root").alias("root"), F.max("root").alias("last")), "named")
+    shared = named.filter("root <> last").select("id", F.col("root").alias("lo"))
+    if shared.isEmpty():
+        return named.select("id", F.col("root").alias("component"))
+    links = materialise(
+        stars.withColumnRenamed("root", "hi").join(shared, "id").filter("hi <> lo").select("hi", "lo").distinct(), "links")
+    # few where ranges hold whole components, so joined by their stored size
+    moved = materialise(_joined_links(links, max_rounds, rows_per_split).filter("id <> component")
+                        .withColumnRenamed("id", "root"), "moved")
+    return named.join(moved, "root", "left").select("id", F.coalesce("component", "root").alias("component"))
+
+
+def _joined_links(links: DataFrame, max_rounds: int, rows_per_split: int) -> DataFrame:
+    """(id, component) of the ends of ``links`` (hi, lo).
+
     Alternating large-star and small-star steps (Kiveris et al., SoCC 2014):
     each round hooks neighbours to the least address around them until every
     component is a star.  The number of rounds grows with the logarithm of the
     graph, not with its diameter.  Links are written each round, so the plan
     does not grow.
     """
-    pairs = materialise(
-        edges.filter("src is not null and dst is not null")
-        .select(F.greatest("src", "dst").alias("hi"), F.least("src", "dst").alias("lo")).distinct(), "pairs")
-    links = pairs.filter("hi <> lo")
     for _ in range(max_rounds):
         around = materialise(_neighbourhoods(links), "around")
         if around.filter("n_below > 1 or (n_below = 1 and n_above > 0)").isEmpty():
@@ -113,12 +187,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 100,
             .filter("hi <> lo").distinct(), "small-star")
     else:
         raise RuntimeError(f"components not stable after {max_rounds} rounds")
-    linked = around.select(
+    return around.select(
         F.col("v").alias("id"), F.when(F.col("n_below") == 1, F.col("least")).otherwise(F.col("v")).alias("component"))
-    alone = (pairs.filter("hi = lo").select(F.col("hi").alias("id"))
-             .join(linked.select("id"), "id", "left_anti")
-             .select("id", F.col("id").alias("component")))
-    return linked.unionByName(alone)
 
 
 def shortest_paths(edges: DataFrame, source: str, directed: bool = True, max_depth: int | None = None,

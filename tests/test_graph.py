@@ -86,3 +86,17 @@ def test_size_degrees_and_missing_ends(spark):
     assert tuple(graph.graph_size(flows).first()) == (2, 3)
     got = {r.id: (r.out_degree, r.in_degree, r.degree) for r in graph.degrees(graph.graph_edges(flows)).collect()}
     assert got == {"a": (2, 0, 2), "b": (1, 3, 4)}
+
+
+@pytest.mark.parametrize("name", CASES)
+def test_components_over_many_ranges(spark, name):
+    """Every range of names holds about three pairs, so most components reach over several stars."""
+    got = graph.connected_components(edges_of(spark, CASES[name]), rows_per_split=4, rows_per_task=3).collect()
+    assert len(got) == len({r.id for r in got})
+    assert {r.id: r.component for r in got} == components(CASES[name])
+
+
+def test_components_inside_a_range_need_no_rounds(spark):
+    chains = [(f"{day}/n{i:02}", f"{day}/n{i + 1:02}") for day in "abc" for i in range(30)]
+    got = graph.connected_components(edges_of(spark, chains), max_rounds=0).collect()
+    assert {r.id: r.component for r in got} == components(chains)
