@@ -24,8 +24,9 @@ def with_tie_break(df: DataFrame) -> DataFrame:
     Sorted last, it lets Spark spread rows that are equal in the sort columns,
     even exact copies, over several ranges.  It is stored before it is used, so
     a task that runs again after an executor was lost sees the same numbers.
+    The whole table is written, so it is compressed harder than other tables.
     """
-    return materialise(df.withColumn("_tie", F.monotonically_increasing_id()), "numbered")
+    return materialise(df.withColumn("_tie", F.monotonically_increasing_id()), "numbered", compression="zstd")
 
 
 def _more_tasks(rows: DataFrame) -> list[int]:

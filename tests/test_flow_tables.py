@@ -1,5 +1,8 @@
 """What is moved and stored of the flow table."""
 
+from pyspark.sql import functions as F
+
+from flowlens.operators import sequence
 from flowlens.plans.adapters import flows
 
 
@@ -22,3 +25,9 @@ def test_flows_of_rows_with_missing_keys(spark, tmp_path):
     rows = [tuple(r) for r in got.select("stcpb", "dstip", "dload", "service", "attack_cat", "label").collect()]
     assert sorted(rows, key=str) == sorted(
         [(1, p, None, *label) for p in ("p2", None) for label in ((None, "DoS", 1), ("F", None, 0))], key=str)
+
+
+def test_numbered_tables_are_compressed_harder(spark):
+    numbered = sequence.with_tie_break(spark.range(10).withColumn("x", F.lit("a")))
+    assert all(name.endswith(".zstd.parquet") for name in numbered.inputFiles())
+    assert sorted(numbered.columns) == ["_tie", "id", "x"] and numbered.select("_tie").distinct().count() == 10
