@@ -6,6 +6,7 @@ import re
 import numpy as np
 import pytest
 import regex
+from pyspark.sql import functions as F
 
 from flowlens.llm import licences as li
 from flowlens.llm.queries import LLM
@@ -112,3 +113,27 @@ def test_fitting_reads_a_bounded_sample(docs):
     scan = li.Scan(max_documents=20, max_pieces=30)
     assert li.ordinary_pieces(docs, scan).count() == 30
     assert li.ordinary_pieces(docs.limit(0), scan).count() == 0
+
+
+def test_ordinary_pieces_of_every_document_are_learned_from(spark):
+    """Against plain Python, copies counted once; a document outside the picked surroundings changes the model."""
+    texts = [f"song number {i} of the book is about the public and the general terms of version {i % 7}" for i in range(60)]
+    texts += [texts[3], "Released under the MIT License.", "", None, "rain " * 100]
+    vocabulary, scan = li._vocabulary(spark), li.Scan(max_documents=5, max_pieces=5)
+    want = {}
+    for piece in {p for t in texts if t and "MIT" not in t for w in [t.lower().split()]
+                  for p in {tuple(w[i: i + li.PIECE]) for i in range(0, max(len(w) - li.PIECE + li.STRIDE - 1, 0) // li.STRIDE * li.STRIDE + 1, li.STRIDE)}}:
+        grams = {" ".join(piece[i: i + n]) for n in (1, 2, 3) for i in range(len(piece) - n + 1)} & set(vocabulary)
+        want[tuple(sorted(grams))] = want.get(tuple(sorted(grams)), 0) + 1
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {}
+    for r in li.ordinary_grams(docs, vocabulary, scan).collect():
+        got[tuple(r._grams)] = got.get(tuple(r._grams), 0) + r.n
+    assert got == want and sum(want.values()) > 60
+
+    picked = {r.doc_id for r in docs.join(li.ordinary_pieces(docs, scan).select(F.array_join("words", " ").alias("text")), "text").collect()}
+    other = docs.withColumn("text", F.when(F.col("doc_id").isin(*picked) | (F.col("doc_id") > 59), F.col("text")).otherwise(
+        F.concat(F.lit("the software is provided by author "), F.col("doc_id"))))
+    assert li.ordinary_pieces(other, scan).select("words").collect() == li.ordinary_pieces(docs, scan).select("words").collect()
+    one, two = (li.fit(x, scan).regression.coefficientMatrix.toArray() for x in (docs, other))
+    assert not np.allclose(one, two)
