@@ -133,7 +133,7 @@ def _stars_of_ranges(pairs: DataFrame, rows_per_task: int) -> DataFrame:
     tasks = max(1, -(-pairs.count() // rows_per_task))
     kind = pairs.schema["hi"].dataType
     made = StructType([StructField("id", kind), StructField("root", kind)])
-    return materialise(pairs.repartitionByRange(tasks, "lo", "hi").mapInArrow(work, made), "stars")
+    return materialise(pairs.repartitionByRange(tasks, "lo", "hi").mapInArrow(work, made), "stars", compression="zstd")
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 100, rows_per_split: int = ROWS_PER_SPLIT,
@@ -147,9 +147,9 @@ def connected_components(edges: DataFrame, max_rounds: int = 100, rows_per_split
     """
     pairs = materialise(
         edges.filter("src is not null and dst is not null")
-        .select(F.greatest("src", "dst").alias("hi"), F.least("src", "dst").alias("lo")).distinct(), "pairs")
+        .select(F.greatest("src", "dst").alias("hi"), F.least("src", "dst").alias("lo")).distinct(), "pairs", compression="zstd")
     stars = _stars_of_ranges(pairs, rows_per_task)
-    named = materialise(stars.groupBy("id").agg(F.min("root").alias("root"), F.max("root").alias("last")), "named")
+    named = materialise(stars.groupBy("id").agg(F.min("root").alias("root"), F.max("root").alias("last")), "named", compression="zstd")
     shared = named.filter("root <> last").select("id", F.col("root").alias("lo"))
     if shared.isEmpty():
         return named.select("id", F.col("root").alias("component"))

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowlens.operators.graph import connected_components
-from flowlens.runtime import materialise
+from flowlens.runtime import materialise, scratch_scope
 
 VERTICES, LINKS = "id string, component string", "old string, component string"
 
@@ -53,24 +53,32 @@ def components(spark: SparkSession, path: str) -> DataFrame:
 
 
 def add_edges(edges: DataFrame, path: str) -> int:
-    """Add a batch of edges (src, dst); returns the number of batches stored."""
+    """Add a batch of edges (src, dst); returns the number of batches stored.
+
+    Its intermediate tables are deleted at the end, so the disk holds those of one batch at a time.
+    """
     spark = edges.sparkSession
     version = _version(spark, path)
     vertices, links = _stored(spark, path, version)
-    pairs = materialise(edges.filter("src IS NOT NULL AND dst IS NOT NULL").select("src", "dst").distinct(), "pairs")
-    ends = materialise(pairs.select(F.explode(F.array("src", "dst")).alias("id")).distinct(), "ends")
-    known = materialise(_follow(vertices.join(ends, "id", "left_semi"), links).select("id", "component"), "known")
-    at = lambda end: known.select(F.col("id").alias(end), F.col("component").alias(f"_{end}"))
-    contracted = materialise(
-        pairs.join(at("src"), "src", "left").join(at("dst"), "dst", "left")
-        .select(F.coalesce("_src", "src").alias("src"), F.coalesce("_dst", "dst").alias("dst")).distinct(), "contracted")
-    joined = materialise(connected_components(contracted), "joined")
-    new = ends.join(known, "id", "left_anti")
-    new.join(joined, "id").select("id", "component").write.mode("overwrite").parquet(f"{path}/vertices/batch={version + 1}")
-    old = known.select("component").distinct().withColumnRenamed("component", "id")
-    swallowed = materialise(joined.filter("id <> component").join(old, "id", "left_semi").select(
-        F.col("id").alias("old"), "component"), "swallowed")
-    # links that led to a swallowed component lead on to what swallowed it
-    _follow(links, swallowed).select("old", "component").unionByName(swallowed).write.mode("overwrite").parquet(
-        f"{path}/links/version={version + 1}")
+    with scratch_scope(spark):
+        given = edges.filter("src IS NOT NULL AND dst IS NOT NULL").select("src", "dst")
+        if version == 0:  # nothing to look up, so every vertex is new and none is swallowed
+            new, all_links = connected_components(given), links
+        else:
+            pairs = materialise(given.distinct(), "pairs", compression="zstd")
+            ends = pairs.select(F.explode(F.array("src", "dst")).alias("id"))
+            known = materialise(_follow(vertices.join(ends, "id", "left_semi"), links).select("id", "component"), "known", compression="zstd")
+            at = lambda end: known.select(F.col("id").alias(end), F.col("component").alias(f"_{end}"))
+            contracted = pairs.join(at("src"), "src", "left").join(at("dst"), "dst", "left").select(
+                F.coalesce("_src", "src").alias("src"), F.coalesce("_dst", "dst").alias("dst")).distinct()
+            joined = materialise(connected_components(contracted), "joined", compression="zstd")
+            # what is left of known vertices are the names of their components
+            old = materialise(known.select(F.col("component").alias("id")).distinct(), "old", compression="zstd")
+            new = joined.join(old, "id", "left_anti")
+            swallowed = materialise(joined.filter("id <> component").join(old, "id", "left_semi").select(
+                F.col("id").alias("old"), "component"), "swallowed")
+            # links that led to a swallowed component lead on to what swallowed it
+            all_links = _follow(links, swallowed).select("old", "component").unionByName(swallowed)
+        new.select("id", "component").write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/vertices/batch={version + 1}")
+        all_links.write.mode("overwrite").parquet(f"{path}/links/version={version + 1}")
     return version + 1
